@@ -6,11 +6,11 @@ follow Python's notion of lines and blanks, which is wider than Java's default.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpuscle.functions.expressions import let
+
 # Results depend on them.
 HEADER_FIELDS = (
     "from", "subject", "organization", "lines", "nntp-posting-host",
@@ -37,18 +37,13 @@ _NON_BLANK_RUN = r"(?U)[^\s\x1C-\x1F]+"
 _FIELD_LIKE = r"(?U)^[A-Za-z0-9-]+" + _BLANK_CLASS + "*:"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once per row."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def strip_blanks(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
 def split_lines(text: Column) -> Column:
     """Lines of ``text``; a line break at the very end opens no extra line."""
-    return _let(
+    return let(
         F.split(text, LINE_BREAK, -1),
         lambda pieces: F.when(
             F.element_at(pieces, -1) == "", F.slice(pieces, 1, F.size(pieces) - 1)
@@ -71,7 +66,11 @@ def _drop_header_lines(lines: Column) -> Column:
             .otherwise(-state - 1)
         )
 
-    def body_after(lines: Column, state: Column) -> Column:
+    def with_state(lines: Column) -> Column:
+        return F.struct(lines.alias("lines"), F.aggregate(lines, F.lit(0), step).alias("state"))
+
+    def body(found: Column) -> Column:
+        lines, state = found["lines"], found["state"]
         ended_by = -state  # 1-based position of the line that ended the block
         blank = strip_blanks(F.get(lines, ended_by - 1)) == ""
         start = ended_by + F.when(blank, 1).otherwise(0)
@@ -79,23 +78,20 @@ def _drop_header_lines(lines: Column) -> Column:
             F.slice(lines, 1, 0)
         )
 
-    return _let(
-        lines,
-        lambda ls: _let(
-            F.aggregate(ls, F.lit(0), step), lambda state: body_after(ls, state)
-        ),
-    )
+    return let(let(lines, with_state), body)
 
 
 def _cut_signature(lines: Column) -> Column:
-    def before_mark(lines: Column) -> Column:
+    def with_mark(lines: Column) -> Column:
         marks = F.transform(lines, lambda line: strip_blanks(line).isin(*SIGNATURE_LINES))
-        return _let(
-            F.array_position(marks, True).cast("int"),
-            lambda at: F.when(at > 0, F.slice(lines, 1, at - 1)).otherwise(lines),
-        )
+        at = F.array_position(marks, True).cast("int")
+        return F.struct(lines.alias("lines"), at.alias("at"))
+
+    def before_mark(found: Column) -> Column:
+        lines, at = found["lines"], found["at"]
+        return F.when(at > 0, F.slice(lines, 1, at - 1)).otherwise(lines)
 
-    return _let(lines, before_mark)
+    return let(let(lines, with_mark), before_mark)
 
 
 def _drop_quotes(lines: Column) -> Column:

@@ -30,10 +30,9 @@ def l2_norm(vector: Column) -> Column:
 
 def l2_normalize(vector: Column) -> Column:
     """Unit vector of the same direction; the zero vector stays zero."""
-    norm = l2_norm(vector)
-    return F.when(norm > 0, F.transform(as_doubles(vector), lambda x: x / norm)).otherwise(
-        as_doubles(vector)
-    )
+    # The norm is a second array, computed once, not part of the lambda.
+    norms = F.array_repeat(l2_norm(vector), F.size(vector))
+    return F.zip_with(as_doubles(vector), norms, lambda x, norm: F.when(norm > 0, x / norm).otherwise(x))
 
 
 def mean_vector(vector: Column) -> Column:

@@ -59,7 +59,7 @@ class FuzzyFit:
 
     @property
     def collapsed(self) -> bool:
-        return self.fpc * self.k < 1.0 + COLLAPSE_MARGIN
+        return bool(self.fpc * self.k < 1.0 + COLLAPSE_MARGIN)
 
 
 @dataclass
@@ -174,7 +174,9 @@ def _advance(run: _Running, sums: np.ndarray, done: int, tolerance: float, max_p
     if run.now is not None:
         converged = bool(np.sqrt(change) < tolerance)
         if converged or done == max_passes:
-            run.fit = FuzzyFit(k, run.now, squares / n, objective, done, converged)
+            run.fit = FuzzyFit(
+                k, run.now, float(squares / n), float(objective), done, converged
+            )
             return
     dim = (len(sums) - 4 - k) // k
     weighted, weight = sums[: k * dim].reshape(k, dim), sums[k * dim : k * dim + k]

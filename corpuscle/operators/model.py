@@ -107,7 +107,7 @@ def sweep_k(
     )
     facts = spark.createDataFrame(
         [
-            (f.k, float(f.fpc), float(f.objective), f.passes, f.converged, bool(f.collapsed))
+            (f.k, f.fpc, f.objective, f.passes, f.converged, f.collapsed)
             for f in fits.values()
         ],
         "k int, fpc double, objective double, passes int, converged boolean, collapsed boolean",
@@ -139,7 +139,7 @@ def choose_model(
     fit = sweep.fits.get(k)
     if fit is None:
         fit = fcm.fit_fuzzy(sweep.points, [k], fuzziness=sweep.fuzziness, **fit_options)[k]
-    return ChosenModel(k, fit.centres, bool(fit.collapsed), scores)
+    return ChosenModel(k, fit.centres, fit.collapsed, scores)
 
 
 def model_centres(spark: SparkSession, model: ChosenModel) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql.functions import arrow_udf
 
 from corpuscle.functions.membership import MAX_CENTRE_BYTES
 from corpuscle.functions.vectors import l2_normalize, matrix, sum_vector
+from corpuscle.sources.shared import materialise
 
 # Fixed value: score of a labeling that has no silhouette.
 NO_SCORE = -1.0
@@ -57,10 +58,13 @@ def silhouettes(labelled: DataFrame) -> DataFrame:
     scores -1.
     """
     unit = labelled.select("k", "label", l2_normalize(F.col("embedding")).alias("embedding"))
-    sums = unit.groupBy("k", "label").agg(
-        sum_vector(F.col("embedding")).alias("total"), F.count("*").alias("n")
+    # One row per cluster: written once, and checked before it comes to the driver.
+    sums = materialise(
+        unit.groupBy("k", "label").agg(
+            sum_vector(F.col("embedding")).alias("total"), F.count("*").alias("n")
+        ),
+        "cluster-sums",
     )
-    # One row per cluster; checked before it comes to the driver.
     size = sums.agg(F.sum(F.size("total")).alias("cells")).first()["cells"] or 0
     if size * 8 > MAX_CENTRE_BYTES:
         raise ValueError("too many clusters to hold their sums in one task")

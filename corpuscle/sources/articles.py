@@ -20,7 +20,7 @@ _BATCH_BYTES = 16 * 1024 * 1024
 _ARTICLES = pa.schema([("doc_seq", pa.int64()), ("path", pa.string()), ("content", pa.binary())])
 
 
-def _open(uri: str) -> tuple[pafs.FileSystem, str]:
+def open_location(uri: str) -> tuple[pafs.FileSystem, str]:
     if "://" not in uri and not uri.startswith("file:"):
         return pafs.LocalFileSystem(), uri
     if uri.startswith("file:"):
@@ -39,7 +39,7 @@ class _ArchiveReader(DataSourceReader):
         self.location = location
 
     def partitions(self) -> list[_Archive]:
-        fs, path = _open(self.location)
+        fs, path = open_location(self.location)
         found = fs.get_file_info(path)
         if found.type == pafs.FileType.NotFound:
             raise FileNotFoundError(self.location)
@@ -53,7 +53,7 @@ class _ArchiveReader(DataSourceReader):
         return [_Archive(f"{self.location.rstrip('/')}/{name}", i) for i, name in enumerate(names)]
 
     def read(self, partition: _Archive) -> Iterator[pa.RecordBatch]:
-        fs, path = _open(partition.uri)
+        fs, path = open_location(partition.uri)
         with fs.open_input_stream(path, compression=None) as stream:
             with tarfile.open(fileobj=stream, mode="r|*") as archive:
                 yield from _batches(_members(archive, partition.number << 32))
