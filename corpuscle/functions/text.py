@@ -26,7 +26,7 @@ MIN_TOKENS = 50
 FINGERPRINT_CHARS = 200
 
 # Line ends and blanks as Python's str.splitlines / str.strip see them.
-LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+LINE_BREAK = r"\R|[\x1C\x1D\x1E]"
 BLANKS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"

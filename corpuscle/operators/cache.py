@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscle.functions import membership as mb
@@ -138,9 +138,13 @@ def count_outcomes(decisions: DataFrame) -> DataFrame:
 
 def health(documents: DataFrame, centres: DataFrame, entries: DataFrame) -> DataFrame:
     """One row: indexed documents, clusters, cached queries."""
-    return (
-        documents.agg(F.count("*").alias("indexed_documents"))
-        .join(centres.agg(F.count("*").alias("n_clusters")))
-        .join(entries.agg(F.count_distinct("query").alias("cached_queries")))
-        .select(F.lit("healthy").alias("status"), "*")
+
+    def number(rows: DataFrame, value: Column, name: str) -> Column:
+        return rows.agg(value).scalar().alias(name)
+
+    return documents.sparkSession.range(1).select(
+        F.lit("healthy").alias("status"),
+        number(documents, F.count("*"), "indexed_documents"),
+        number(centres, F.count("*"), "n_clusters"),
+        number(entries, F.count_distinct("query"), "cached_queries"),
     )

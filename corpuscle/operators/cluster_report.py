@@ -126,16 +126,15 @@ def summary(
             )
         ).alias("silhouette_scores")
     )
-    counted = memberships.agg(
+    return memberships.agg(
         F.lit(n_clusters).alias("n_clusters"),
         F.count("*").alias("n_docs"),
         F.lit(fuzziness).alias("fuzziness_m"),
-    )
-    # Four one-row tables side by side.
-    return (
-        counted.join(silhouette_scores)
-        .join(top_docs)
-        .join(boundary)
+    ).select(
+        "*",
+        silhouette_scores.scalar().alias("silhouette_scores"),
+        top_docs.scalar().alias("top_docs_per_cluster"),
+        boundary.scalar().alias("boundary_documents"),
     )
 
 

@@ -32,6 +32,8 @@ CLUSTER_BOUNDS = (10, 20)
 MAX_PASSES = 150
 TOLERANCE = 1e-5
 SEED = 42
+# Partitions whose sums one task merges.
+MERGE_WIDTH = 512
 # Memberships this close to 1/k on average mean that all centres have merged.
 COLLAPSE_MARGIN = 1e-3
 
@@ -127,11 +129,19 @@ def _partial_sums(states: list[tuple[int, np.ndarray | None, np.ndarray | None]]
 def fit_pass(
     points: DataFrame, states: list[tuple[int, np.ndarray | None, np.ndarray | None]], m: float
 ) -> DataFrame:
-    """One pass: rows ``k, sums`` for every k in ``states``."""
+    """One pass: rows ``k, sums`` for every k in ``states``.
+
+    Every partition sends one row per k. Many partitions are first merged in
+    groups, so that no task adds up the rows of all of them.
+    """
     partial = points.select("embedding", "start_key").mapInArrow(
         _partial_sums(states, m), "k int, sums array<double>"
     )
-    return partial.groupBy("k").agg(sum_vector(F.col("sums")).alias("sums"))
+    merged = sum_vector(F.col("sums")).alias("sums")
+    if points.rdd.getNumPartitions() > MERGE_WIDTH:
+        group = F.floor(F.spark_partition_id() / MERGE_WIDTH)
+        partial = partial.groupBy("k", group.alias("_group")).agg(merged)
+    return partial.groupBy("k").agg(merged)
 
 
 def fit_fuzzy(

@@ -38,7 +38,7 @@ from corpuscle.operators import (
 )
 from corpuscle.session import ship_package
 from corpuscle.sources import articles, cache_store, tables
-from corpuscle.sources.shared import fresh_path, materialise
+from corpuscle.sources.shared import fresh_path, materialise, spread
 from corpuscle.streaming.query_stream import QueryStream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus, spread out where it is one unsplittable file."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def wrapped_text() -> Column:
     """The text of a document as it would arrive: headers, quotes, signature."""
     return F.concat(
@@ -89,7 +94,7 @@ def wrapped_text() -> Column:
 
 def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_seq, doc_id, category, text`` with the text wrapped."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("doc_id").alias("doc_seq"),
         F.concat_ws("/", "source", "doc_id").alias("doc_id"),
         F.col("source").alias("category"),
@@ -346,7 +351,7 @@ def collection_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def hashed_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashed unit vectors of all documents and user turns."""
-    docs = table(spark, sf_dir, "documents").select(
+    docs = documents(spark, sf_dir).select(
         F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "text"
     )
     turns = table(spark, sf_dir, "conversations").filter("role = 'user'").select(
@@ -531,11 +536,11 @@ def fcm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit ten clusters from the random start; the fit's own figures."""
     points = model.fit_points(table(spark, sf_dir, "embeddings"), key="vec_id")
     fit = fcm.fit_fuzzy(points, [10])[10]
-    spread = fcm.centres_table(spark, fit.centres)
+    table_of = fcm.centres_table(spark, fit.centres)
     return spark.createDataFrame(
         [(fit.k, round(fit.fpc, 4), fit.passes, fit.converged, fit.collapsed)],
         "k int, fpc double, passes int, converged boolean, collapsed boolean",
-    ).join(spread.agg(F.count("*").alias("n_centres")))
+    ).select("*", table_of.agg(F.count("*")).scalar().alias("n_centres"))
 
 
 @register
@@ -557,8 +562,8 @@ def cluster_artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.save_clusters(memberships(spark, sf_dir), label_centres(spark, sf_dir), path)
     stored, middle = tables.load_clusters(spark, path)
     cells = middle.select("cluster", F.posexplode("centre").alias("pos", "value"))
-    docs = stored.agg(F.count("*").alias("n_docs"))
-    return cells.join(docs).select("cluster", "pos", F.round("value", 6).alias("value"), "n_docs")
+    docs = stored.agg(F.count("*")).scalar().alias("n_docs")
+    return cells.select("cluster", "pos", F.round("value", 6).alias("value"), docs)
 
 
 @register
@@ -621,8 +626,10 @@ def cache_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def cache_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = cache.count_outcomes(_found(spark, sf_dir))
-    texts = cached_entries(spark, sf_dir).agg(F.count_distinct("query").alias("total_entries"))
-    return cache.with_rate(counted.join(texts), CACHE_THRESHOLD)
+    texts = cached_entries(spark, sf_dir).agg(F.count_distinct("query"))
+    return cache.with_rate(
+        counted.select("*", texts.scalar().alias("total_entries")), CACHE_THRESHOLD
+    )
 
 
 @register
@@ -701,7 +708,7 @@ def text_query_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns as text queries: embedded, replayed, answered from the documents."""
     embedded = encode.embed(
         corpus.clean_and_keep_long(
-            table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("category"), "text")
+            documents(spark, sf_dir).select("doc_id", F.col("source").alias("category"), "text")
         )
     )
     docs = materialise(embedded, "documents")

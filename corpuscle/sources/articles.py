@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from corpuscle.operators.corpus import article_paths, decode_articles
-from corpuscle.sources.shared import materialise
+from corpuscle.sources.shared import materialise, spread
 
 ARCHIVE_ENDINGS = (".tar", ".tar.gz", ".tgz", ".tar.bz2", ".tar.xz")
 _BATCH_BYTES = 16 * 1024 * 1024
@@ -104,17 +104,15 @@ class ArticleArchives(DataSource):
         return _ArchiveReader(self.options["path"])
 
 
-def read_archives(spark: SparkSession, location: str, partitions: int | None = None) -> DataFrame:
+def read_archives(spark: SparkSession, location: str) -> DataFrame:
     """``doc_seq, category, doc_id, text`` from one archive or a folder of archives.
 
-    A compressed archive cannot be split, so one task unpacks it; with
-    ``partitions`` the articles are then spread before any further work.
+    A compressed archive cannot be split, so one task unpacks it; with fewer
+    archives than cores the articles are then spread before any further work.
     """
     spark.dataSource.register(ArticleArchives)
     raw = spark.read.format("article_archives").load(location)
-    if partitions is not None:
-        raw = raw.repartition(partitions, "doc_seq")
-    return _articles(raw)
+    return _articles(spread(raw, "doc_seq"))
 
 
 def read_tree(spark: SparkSession, root: str) -> DataFrame:

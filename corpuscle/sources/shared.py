@@ -46,3 +46,13 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread rows by ``key`` if the input has fewer splits than there are cores.
+
+    For costly work on texts that come as one unsplittable file. An input with
+    enough splits, as any large table has, is left as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

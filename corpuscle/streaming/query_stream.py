@@ -34,7 +34,7 @@ RESPONSE_SCHEMA = (
     f"similarity_score double, result {HIT_TYPE}, dominant_cluster int"
 )
 _ERAS = "batch bigint, flushes bigint"
-_ENTRIES = ENTRY_SCHEMA + ", era bigint, batch bigint"
+_ENTRIES = ENTRY_SCHEMA + ", era bigint, written bigint, batch bigint"
 
 
 @dataclass(frozen=True)
@@ -67,9 +67,9 @@ class QueryStream:
             chunk_rows=self.chunk_rows,
         )
         results = materialise(search_misses(replay, self.documents), "stream-results")
-        # Later batches find an entry under its place, with the content written last.
+        # ``seq`` is the place of the entry, ``written`` the request that wrote it.
         misses = replay.decisions.filter(~F.col("cache_hit")).join(results, "seq", "left")
-        places = misses.select(
+        entries = misses.select(
             F.col("entry_seq").alias("seq"),
             "query",
             "vector",
@@ -79,13 +79,6 @@ class QueryStream:
             (F.col("era") + era).alias("era"),
             F.col("seq").alias("written"),
         )
-        entries = places.groupBy("era", "seq").agg(
-            F.max_by(
-                F.struct("query", "vector", "result", "dominant_cluster", "membership_vector"),
-                "written",
-            ).alias("e")
-        )
-        entries = entries.select("seq", "e.*", "era")
         answers = responses(replay, results, state)
         answers.write.mode("overwrite").parquet(f"{self.root}/responses/batch={batch}")
         entries.write.mode("overwrite").parquet(f"{self.root}/entries/batch={batch}")
@@ -113,10 +106,15 @@ class QueryStream:
         live = self._read("entries", _ENTRIES).filter(
             (F.col("batch") < batch) & (F.col("era") == era)
         )
-        newest = live.groupBy("seq").agg(
-            F.max_by(
-                F.struct("query", "vector", "result", "dominant_cluster", "membership_vector"),
-                "batch",
-            ).alias("e")
+        # Only a text missed again is written twice; its last answer counts.
+        again = (
+            live.filter(F.col("written") != F.col("seq"))
+            .groupBy("seq")
+            .agg(F.max_by("result", "written").alias("_result"))
+        )
+        return (
+            live.filter(F.col("written") == F.col("seq"))
+            .join(again, "seq", "left")
+            .withColumn("result", F.coalesce("_result", "result"))
+            .select("seq", "query", "vector", "result", "dominant_cluster", "membership_vector")
         )
-        return newest.select("seq", "e.*")

@@ -51,7 +51,7 @@ def test_folder_of_archives_is_read_in_name_order(spark, tmp_path):
             info = tarfile.TarInfo(f"r/{name[0]}/1")
             archive.addfile(info, io.BytesIO(b""))
     (tmp_path / "note.txt").write_text("not an archive")
-    rows = articles.read_archives(spark, str(tmp_path), partitions=3).orderBy("doc_seq").collect()
+    rows = articles.read_archives(spark, str(tmp_path)).orderBy("doc_seq").collect()
     assert [r["category"] for r in rows] == ["a", "b"]
 
 
@@ -68,7 +68,7 @@ def test_absent_collection_fails(spark, tmp_path):
 
 
 def test_build_and_reuse(spark, places, tmp_path):
-    raw = articles.read_archives(spark, str(places / "all.tar.gz"), partitions=4)
+    raw = articles.read_archives(spark, str(places / "all.tar.gz"))
     root = str(tmp_path / "build")
     options = {"cluster_counts": [3, 4], "bounds": (3, 4), "fuzziness": 1.2}
     build = run_build(spark, raw, root, **options)
