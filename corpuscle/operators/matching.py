@@ -63,27 +63,44 @@ def _best(found: pd.DataFrame, n: int) -> pd.DataFrame:
     return ranked.groupby("query", sort=False).head(n)
 
 
-def _best_pairs(queries: np.ndarray, entries: np.ndarray, n: int) -> Iterator[tuple]:
-    """(query row, entry row, score) of the n best per query, with all ties of the n-th."""
+def _best_pairs(
+    queries: np.ndarray,
+    entries: np.ndarray,
+    n: int,
+    order: tuple[np.ndarray, np.ndarray] | None,
+) -> Iterator[tuple]:
+    """(query row, entry row, score) of the n best per query, with all ties of the n-th.
+
+    ``order`` holds the ids of both sides; with it, entries not before the
+    query are left out.
+    """
     step = max(1, _CELLS // len(entries))
     for start in range(0, len(queries), step):
         scores = np.round(queries[start : start + step] @ entries.T, SCORE_DIGITS)
+        if order is not None:
+            scores[order[1][None, :] >= order[0][start : start + step, None]] = -np.inf
         if scores.shape[1] > n:
             nth = np.partition(scores, scores.shape[1] - n, axis=1)[:, scores.shape[1] - n]
             rows, columns = np.nonzero(scores >= nth[:, None])
         else:
             rows, columns = np.nonzero(np.ones_like(scores, dtype=bool))
-        yield rows + start, columns, scores[rows, columns]
+        found = scores[rows, columns]
+        if order is not None:
+            before = np.isfinite(found)
+            rows, columns, found = rows[before], columns[before], found[before]
+        yield rows + start, columns, found
 
 
-def _match(queries: _Rows, entries: _Rows, n: int) -> pd.DataFrame:
+def _match(queries: _Rows, entries: _Rows, n: int, earlier: bool) -> pd.DataFrame:
     """Best ``n`` entries per query, bucket by bucket."""
     parts = []
     for bucket, in_q in queries.by_bucket.items():
         in_e = entries.by_bucket.get(bucket)
         if in_e is None:
             continue
-        for rows, columns, scores in _best_pairs(queries.vectors[in_q], entries.vectors[in_e], n):
+        order = (queries.ids[in_q], entries.ids[in_e]) if earlier else None
+        pairs = _best_pairs(queries.vectors[in_q], entries.vectors[in_e], n, order)
+        for rows, columns, scores in pairs:
             found = pd.DataFrame(
                 {
                     "query": queries.ids[in_q[rows]],
@@ -126,6 +143,7 @@ def top_matches(
     query_vector: str = "embedding",
     bucket: str | None = None,
     several_buckets: bool = False,
+    earlier: bool = False,
     travel_rows: int = TRAVEL_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
@@ -134,7 +152,8 @@ def top_matches(
     ``rank`` counts from 1; equal scores are ordered by entry id. With
     ``bucket`` (a BIGINT column of both sides) only entries of the query's
     bucket count, and a query whose bucket is empty has no row. With
-    ``several_buckets`` a query may be given once per bucket it visits.
+    ``several_buckets`` a query may be given once per bucket it visits. With
+    ``earlier`` only entries whose id is below the query's id count.
     """
     e = _side(entries, "entry", entry_id, entry_vector, bucket)
     q = _side(queries, "query", query_id, query_vector, bucket)
@@ -148,14 +167,14 @@ def top_matches(
 
     few_queries = _travelling(q, q.count(), travel_rows)
     if few_queries is not None:
-        return _ranked(e.mapInArrow(_scan_entries(few_queries, n), schema), n)
+        return _ranked(e.mapInArrow(_scan_entries(few_queries, n, earlier), schema), n)
     few_entries = _travelling(e, e.count(), travel_rows)
     if few_entries is not None:
         # A query row meets all entries in one task, so its ranks are final there.
         ranked = T.StructType(schema.fields + [T.StructField("rank", T.IntegerType())])
-        found = q.mapInArrow(_scan_queries(few_entries, n), ranked)
+        found = q.mapInArrow(_scan_queries(few_entries, n, earlier), ranked)
         return _ranked(found, n) if several_buckets else found
-    return _ranked(_block_pairs(e, q, n, schema, block_rows), n)
+    return _ranked(_block_pairs(e, q, n, earlier, schema, block_rows), n)
 
 
 def _ranked(found: DataFrame, n: int) -> DataFrame:
@@ -169,12 +188,12 @@ def _to_batch(found: pd.DataFrame, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pandas(found[names], preserve_index=False)
 
 
-def _scan_entries(travelling: pa.Table, n: int):
+def _scan_entries(travelling: pa.Table, n: int, earlier: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries = _Rows.of(travelling, "query")
         kept = None
         for batch in batches:
-            found = _match(queries, _Rows.of(batch, "entry"), n)
+            found = _match(queries, _Rows.of(batch, "entry"), n, earlier)
             if len(found):
                 kept = found if kept is None else _best(pd.concat([kept, found]), n)
         if kept is not None:
@@ -183,11 +202,11 @@ def _scan_entries(travelling: pa.Table, n: int):
     return scan
 
 
-def _scan_queries(travelling: pa.Table, n: int):
+def _scan_queries(travelling: pa.Table, n: int, earlier: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries = _Rows.of(travelling, "entry")
         for batch in batches:
-            found = _match(_Rows.of(batch, "query"), entries, n)
+            found = _match(_Rows.of(batch, "query"), entries, n, earlier)
             if len(found):
                 rank = found.groupby("query", sort=False).cumcount() + 1
                 yield _to_batch(
@@ -198,7 +217,12 @@ def _scan_queries(travelling: pa.Table, n: int):
 
 
 def _block_pairs(
-    entries: DataFrame, queries: DataFrame, n: int, schema: T.StructType, block_rows: int
+    entries: DataFrame,
+    queries: DataFrame,
+    n: int,
+    earlier: bool,
+    schema: T.StructType,
+    block_rows: int,
 ) -> DataFrame:
     def blocks(side: DataFrame, name: str) -> DataFrame:
         return side.groupBy("bucket").agg(
@@ -222,7 +246,7 @@ def _block_pairs(
     arrow_schema = to_arrow_schema(schema)
 
     def match(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = _match(_Rows.of(right, "query"), _Rows.of(left, "entry"), n)
+        found = _match(_Rows.of(right, "query"), _Rows.of(left, "entry"), n, earlier)
         if not len(found):
             return arrow_schema.empty_table()
         return pa.Table.from_pandas(

@@ -80,7 +80,9 @@ def fit_points(
     """Unit vectors and start keys of the sample (of all rows for None), written once."""
     rows = vectors.select(key, "embedding")
     if sample_size is not None:
-        rows = fcm.sample_rows(rows, sample_size, key, seed)
+        # A sample is one partition after the limit; the passes use more.
+        slices = min(rows.sparkSession.sparkContext.defaultParallelism, sample_size // 512)
+        rows = fcm.sample_rows(rows, sample_size, key, seed).repartition(max(1, slices), key)
     points = rows.select(
         l2_normalize(F.col("embedding")).alias("embedding"),
         fcm.start_key(key, seed).alias("start_key"),

@@ -144,7 +144,7 @@ def test_first_query_misses_then_hits(spark, centres):
     assert (stats["miss_count"], stats["hit_count"], stats["hit_rate"]) == (1, 1, 0.5)
 
 
-def _log(n=160, seed=6, flush=(), copies=True):
+def _log(n=160, seed=6, flush=(), own=(None, 0.3, 1.0)):
     vectors = unit_rows(n, seed)
     rng = np.random.default_rng(seed)
     rows = []
@@ -152,9 +152,9 @@ def _log(n=160, seed=6, flush=(), copies=True):
         if i in flush:
             rows.append((i, "flush", None, None, None, None))
             continue
-        j = 3 if copies and i % 3 == 0 else i  # a third of the log is one text
-        own = [None, 0.3, 1.0][int(rng.integers(3))]
-        rows.append((i, "query", f"q{j}", vectors[j], own, int(rng.integers(1, 21))))
+        j = 3 if i % 3 == 0 else i  # a third of the log is one text
+        limit = own[int(rng.integers(len(own)))]
+        rows.append((i, "query", f"q{j}", vectors[j], limit, int(rng.integers(1, 21))))
     return rows
 
 
@@ -180,6 +180,23 @@ def test_replay_equals_serial_loop(spark, centres, chunk_rows, flush):
     assert stats["total_entries"] == len({live[s] for s, o in last.items() if not o[0]})
 
 
+@pytest.mark.parametrize("limits", [{}, {"travel_rows": 0, "block_rows": 10}])
+@pytest.mark.parametrize("own", [(0.2, 0.3), (0.2, 0.3, 0.3, 0.3, 1.0)])
+def test_rounds_grow_while_the_cache_answers(spark, centres, own, limits, monkeypatch):
+    widths = []
+    parallel = replay._mostly_parallel
+
+    def counted(matched, **given):
+        widths.append(matched.count())
+        return parallel(matched, **given)
+
+    monkeypatch.setattr(replay, "_mostly_parallel", counted)
+    rows = _log(n=240, own=own, flush=(70,))
+    played = replay.replay_log(log_rows(spark, rows), centres, threshold=0.5, chunk_rows=24, **limits)
+    assert _outcome(played) == serial_replay(rows, centres, 0.5)
+    assert widths and max(widths) > 24
+
+
 def test_blocks_and_travel_give_the_same_replay(spark, centres):
     rows = _log()
     played = replay.replay_log(
