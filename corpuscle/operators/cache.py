@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscle.functions import membership as mb
-from corpuscle.operators.matching import top_matches
+from corpuscle.operators.matching import TRAVEL_ROWS, match_in_place, top_matches
 from corpuscle.operators.search import SIMILARITY_DIGITS
 
 # Fixed values.
@@ -92,26 +92,41 @@ def lookup(
 ) -> DataFrame:
     """Look every query up in a fixed cache; all columns of ``queries`` are kept.
 
-    Only entries of the query's dominant cluster are compared. Adds
+    Only entries of the query's dominant cluster are compared. A cache small
+    enough to travel is matched in place, without a shuffle. Adds
     ``entry_seq`` and ``score`` of the best one (the earliest on ties; null if
     the bucket is empty) and ``cache_hit``. A ``threshold`` column, where not
     null, overrides the default for its row.
     """
-    best = top_matches(
+    in_place = match_in_place(
         entries,
-        queries,
-        1,
         entry_id="seq",
-        query_id="seq",
-        entry_vector="vector",
-        query_vector="vector",
         bucket="dominant_cluster",
-        **limits,
-    ).select(F.col("query").alias("seq"), F.col("entry").alias("entry_seq"), "score")
+        travel_rows=limits.get("travel_rows", TRAVEL_ROWS),
+    )
+    if in_place is not None:
+        match = in_place(F.col("dominant_cluster").cast("bigint"), F.col("vector"))
+        found = queries.withColumn("_match", match).select(
+            *queries.columns,
+            F.col("_match.entry").alias("entry_seq"),
+            F.col("_match.score").alias("score"),
+        )
+    else:
+        best = top_matches(
+            entries,
+            queries,
+            1,
+            entry_id="seq",
+            query_id="seq",
+            entry_vector="vector",
+            query_vector="vector",
+            bucket="dominant_cluster",
+            **limits,
+        ).select(F.col("query").alias("seq"), F.col("entry").alias("entry_seq"), "score")
+        found = queries.join(best, "seq", "left")
     limit = F.lit(float(threshold))
     if "threshold" in queries.columns:
         limit = F.coalesce(F.col("threshold"), limit)
-    found = queries.join(best, "seq", "left")
     return found.withColumn("cache_hit", F.coalesce(F.col("score") >= limit, F.lit(False)))
 
 

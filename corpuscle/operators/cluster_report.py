@@ -29,11 +29,12 @@ def top_docs_per_cluster(memberships: DataFrame, n: int = TOP_DOCS) -> DataFrame
     The rank limit is applied before the shuffle too, so each cluster
     receives at most ``n`` rows per input partition.
     """
+    # The outer form: a plain posexplode would test every array in a filter
+    # below, and compute memberships that come from a UDF a second time.
+    cells = F.posexplode_outer("memberships").alias("cluster", "membership")
     strongest = Window.partitionBy("cluster").orderBy(F.desc("membership"), "doc_id")
     return (
-        memberships.select(
-            "doc_id", "category", F.posexplode("memberships").alias("cluster", "membership")
-        )
+        memberships.select("doc_id", "category", cells)
         .withColumn("rank", F.row_number().over(strongest))
         .filter(F.col("rank") <= n)
         .select("cluster", "rank", "doc_id", "category", "membership")

@@ -15,15 +15,16 @@ pair is ever written out. Which side travels is decided by counting:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpuscle.functions.vectors import SCORE_DIGITS, matrix
@@ -177,6 +178,42 @@ def top_matches(
     return _ranked(_block_pairs(e, q, n, earlier, schema, block_rows), n)
 
 
+def match_in_place(
+    entries: DataFrame,
+    *,
+    entry_id: str,
+    vector: str = "vector",
+    bucket: str | None = None,
+    travel_rows: int = TRAVEL_ROWS,
+) -> Callable[[Column, Column], Column] | None:
+    """Column function ``(bucket, vector) -> struct<entry, score>``: the best entry of a row.
+
+    Null where the bucket has no entry. The rows themselves stay in the JVM, and
+    nothing is shuffled. None if the entries are too many to travel.
+    """
+    e = _side(entries, "entry", entry_id, vector, bucket)
+    travelling = _travelling(e, e.count(), travel_rows)
+    if travelling is None:
+        return None
+    held: list[_Rows] = []
+
+    @arrow_udf("struct<entry: bigint, score: double>")
+    def best(bucket: pa.Array, vector: pa.Array) -> pa.Array:
+        if not held:
+            held.append(_Rows.of(travelling, "entry"))
+        rows = np.arange(len(vector))
+        queries = _Rows.of(pa.table({"id": rows, "bucket": bucket, "vector": vector}), "id")
+        found = _best(_match(queries, held[0], 1, False), 1)
+        at = found["query"].to_numpy(dtype=np.int64)
+        entry, score, missing = np.zeros(len(rows), np.int64), np.zeros(len(rows)), np.ones(len(rows), bool)
+        entry[at], score[at], missing[at] = found["entry"], found["score"], False
+        return pa.StructArray.from_arrays(
+            [pa.array(entry, pa.int64()), pa.array(score)], ["entry", "score"], mask=pa.array(missing)
+        )
+
+    return best
+
+
 def _ranked(found: DataFrame, n: int) -> DataFrame:
     order = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
     return (

@@ -12,6 +12,7 @@ from corpuscle.functions.membership import distances
 from corpuscle.functions.text import strip_blanks
 from corpuscle.functions.vectors import matrix
 from corpuscle.operators.matching import top_matches
+from corpuscle.sources.shared import small_side
 
 # Fixed values.
 DEFAULT_RESULTS = 5
@@ -105,10 +106,11 @@ def nearest_documents_pruned(
 def search_hits(found: DataFrame, texts: DataFrame, query_id: str = "seq") -> DataFrame:
     """Shape hits: ``id, category, similarity, text`` per query, texts joined last.
 
-    ``found`` is small next to ``texts`` (n rows per query), so the texts are
-    looked up for the best documents only.
+    ``found`` has n rows per query, without texts; where that is small, the
+    texts are scanned and matched in place, without a shuffle.
     """
-    return found.join(texts.select("doc_id", "category", "text"), "doc_id").select(
+    found = small_side(found, "found")
+    return texts.select("doc_id", "category", "text").join(found, "doc_id").select(
         query_id,
         "id",
         "category",

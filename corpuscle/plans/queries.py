@@ -441,7 +441,7 @@ def knn_result_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def fuzzy_memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = memberships(spark, sf_dir)
-    long = rows.select("doc_id", F.posexplode("memberships").alias("cluster", "u"))
+    long = rows.select("doc_id", F.posexplode_outer("memberships").alias("cluster", "u"))
     return long.select("doc_id", "cluster", F.round("u", 6).alias("membership"))
 
 

@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Largest table of ids and numbers that a join copies to every executor.
+SMALL_ROWS = 500_000
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -56,3 +60,13 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def small_side(df: DataFrame, name: str, rows: int = SMALL_ROWS) -> DataFrame:
+    """Write ``df`` once; up to ``rows`` rows, mark the scan of it for broadcast.
+
+    So a large other side is neither shuffled nor read twice. Above the limit
+    the join is left to the optimizer. For narrow rows: ids and numbers.
+    """
+    table = materialise(df, name)
+    return F.broadcast(table) if table.count() <= rows else table

@@ -24,7 +24,7 @@ from corpuscle.operators.replay import (
     responses,
     search_misses,
 )
-from corpuscle.sources.shared import materialise
+from corpuscle.sources.shared import materialise, small_side
 
 LOG_SCHEMA = (
     "seq bigint, op string, query string, vector array<float>, threshold double, n_results int"
@@ -33,6 +33,8 @@ RESPONSE_SCHEMA = (
     "seq bigint, query string, cache_hit boolean, matched_query string, "
     f"similarity_score double, result {HIT_TYPE}, dominant_cluster int"
 )
+# Rewritten entries carry their result, so fewer of them are copied to all executors.
+REWRITTEN_ROWS = 5_000
 _ERAS = "batch bigint, flushes bigint"
 _ENTRIES = ENTRY_SCHEMA + ", era bigint, written bigint, batch bigint"
 
@@ -114,7 +116,7 @@ class QueryStream:
         )
         return (
             live.filter(F.col("written") == F.col("seq"))
-            .join(again, "seq", "left")
+            .join(small_side(again, "stream-rewritten", REWRITTEN_ROWS), "seq", "left")
             .withColumn("result", F.coalesce("_result", "result"))
             .select("seq", "query", "vector", "result", "dominant_cluster", "membership_vector")
         )

@@ -62,7 +62,8 @@ def test_orthogonal_vectors_in_one_bucket_miss(spark):
     assert row["score"] == 0.0 and not row["cache_hit"]
 
 
-def test_only_the_own_bucket_is_compared_and_the_earliest_wins(spark):
+@pytest.mark.parametrize("limits", [{}, {"travel_rows": 0, "block_rows": 2}])
+def test_only_the_own_bucket_is_compared_and_the_earliest_wins(spark, limits):
     v = unit_rows(1, 4)[0]
     rows = [(5, v, 0), (3, v, 1), (4, v, 1), (9, -v, 2)]
     entries = spark.createDataFrame(
@@ -73,7 +74,7 @@ def test_only_the_own_bucket_is_compared_and_the_earliest_wins(spark):
         [(100 + b, [float(x) for x in v], b) for b in range(4)],
         "seq bigint, vector array<float>, dominant_cluster int",
     )
-    found = {r["seq"]: (r["entry_seq"], r["cache_hit"]) for r in cache.lookup(entries, queries).collect()}
+    found = {r["seq"]: (r["entry_seq"], r["cache_hit"]) for r in cache.lookup(entries, queries, **limits).collect()}
     assert found == {100: (5, True), 101: (3, True), 102: (9, False), 103: (None, False)}
 
 
