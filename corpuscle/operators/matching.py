@@ -33,14 +33,16 @@ from corpuscle.functions.vectors import SCORE_DIGITS, matrix
 TRAVEL_ROWS = 20_000
 TRAVEL_BYTES = 256 * 1024 * 1024
 # Rows per block where both sides are large.
-BLOCK_ROWS = 50_000
-# Cells of one matrix product held at a time.
-_CELLS = 4_000_000
+BLOCK_ROWS = 20_000
+# Size of one matrix product: small enough to stay in a core's cache.
+_BLOCK_QUERIES, _BLOCK_ENTRIES = 256, 1024
+# Scores are compared as whole multiples of the last digit that counts.
+_UNITS = 10.0**SCORE_DIGITS
 
 
 @dataclass
 class _Rows:
-    """One side of a match in memory: ids and vectors, split by bucket."""
+    """One side of a match in memory, in order of the id: ids, vectors, rows per bucket."""
 
     ids: np.ndarray
     vectors: np.ndarray
@@ -48,12 +50,13 @@ class _Rows:
 
     @classmethod
     def of(cls, table: pa.Table | pa.RecordBatch, id_column: str) -> _Rows:
-        buckets = table["bucket"].to_numpy(zero_copy_only=False) if len(table) else np.array([])
-        return cls(
-            table[id_column].to_numpy(zero_copy_only=False) if len(table) else np.array([]),
-            matrix(table["vector"]),
-            {b: np.flatnonzero(buckets == b) for b in np.unique(buckets)},
-        )
+        if not len(table):
+            return cls(np.array([]), np.zeros((0, 0)), {})
+        ids = table[id_column].to_numpy(zero_copy_only=False)
+        buckets = table["bucket"].to_numpy(zero_copy_only=False)
+        order = np.argsort(ids, kind="stable")
+        by_bucket = {b: order[buckets[order] == b] for b in np.unique(buckets)}
+        return cls(ids, matrix(table["vector"]), by_bucket)
 
 
 def _best(found: pd.DataFrame, n: int) -> pd.DataFrame:
@@ -64,43 +67,63 @@ def _best(found: pd.DataFrame, n: int) -> pd.DataFrame:
     return ranked.groupby("query", sort=False).head(n)
 
 
+def _largest(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mask of the n largest cells of each row, the leftmost among equals; and the n-th values.
+
+    Every row has more than n cells above minus infinity.
+    """
+    at = scores.shape[1] - n
+    nth = np.partition(scores, at, axis=1)[:, at]
+    mask = scores > nth[:, None]
+    tied = scores == nth[:, None]
+    wanted = n - mask.sum(axis=1)
+    crowded = np.flatnonzero(tied.sum(axis=1) > wanted)
+    if len(crowded):
+        tied[crowded] &= np.cumsum(tied[crowded], axis=1) <= wanted[crowded, None]
+    return mask | tied, nth
+
+
 def _best_pairs(
     queries: np.ndarray,
     entries: np.ndarray,
     n: int,
-    order: tuple[np.ndarray, np.ndarray] | None,
+    ids: tuple[np.ndarray, np.ndarray] | None,
 ) -> Iterator[tuple]:
-    """(query row, entry row, score) of the n best per query, with all ties of the n-th.
+    """(query row, entry row, score): a superset of the n best of each query, n per block.
 
-    ``order`` holds the ids of both sides; with it, entries not before the
-    query are left out.
+    Entries come in order of their id, so an entry of a later block must beat
+    the n-th best so far; an equal score is not enough. With the ``ids`` of both
+    sides, entries not before the query are left out.
     """
-    step = max(1, _CELLS // len(entries))
-    for start in range(0, len(queries), step):
-        scores = np.round(queries[start : start + step] @ entries.T, SCORE_DIGITS)
-        if order is not None:
-            scores[order[1][None, :] >= order[0][start : start + step, None]] = -np.inf
-        if scores.shape[1] > n:
-            nth = np.partition(scores, scores.shape[1] - n, axis=1)[:, scores.shape[1] - n]
-            rows, columns = np.nonzero(scores >= nth[:, None])
-        else:
-            rows, columns = np.nonzero(np.ones_like(scores, dtype=bool))
-        found = scores[rows, columns]
-        if order is not None:
-            before = np.isfinite(found)
-            rows, columns, found = rows[before], columns[before], found[before]
-        yield rows + start, columns, found
+    for start in range(0, len(queries), _BLOCK_QUERIES):
+        block = queries[start : start + _BLOCK_QUERIES]
+        floor = np.full(len(block), -np.inf)
+        for first in range(0, len(entries), _BLOCK_ENTRIES):
+            scores = block @ entries[first : first + _BLOCK_ENTRIES].T
+            scores *= _UNITS
+            np.rint(scores, out=scores)
+            if ids is not None:
+                late = ids[1][first : first + _BLOCK_ENTRIES] >= ids[0][start : start + _BLOCK_QUERIES, None]
+                scores[late] = -np.inf
+            above = scores > floor[:, None]
+            count = above.sum(axis=1)
+            full = np.flatnonzero(count > n)  # more than n cells: only the largest stay
+            if len(full):
+                above[full], nth = _largest(scores[full], n)
+                floor[full] = nth
+            rows, columns = np.nonzero(above)
+            yield rows + start, columns + first, scores[rows, columns] / _UNITS
 
 
 def _match(queries: _Rows, entries: _Rows, n: int, earlier: bool) -> pd.DataFrame:
-    """Best ``n`` entries per query, bucket by bucket."""
+    """Best ``n`` entries per query, over all buckets the query is in."""
     parts = []
     for bucket, in_q in queries.by_bucket.items():
         in_e = entries.by_bucket.get(bucket)
         if in_e is None:
             continue
-        order = (queries.ids[in_q], entries.ids[in_e]) if earlier else None
-        pairs = _best_pairs(queries.vectors[in_q], entries.vectors[in_e], n, order)
+        ids = (queries.ids[in_q], entries.ids[in_e]) if earlier else None
+        pairs = _best_pairs(queries.vectors[in_q], entries.vectors[in_e], n, ids)
         for rows, columns, scores in pairs:
             found = pd.DataFrame(
                 {
@@ -109,10 +132,10 @@ def _match(queries: _Rows, entries: _Rows, n: int, earlier: bool) -> pd.DataFram
                     "score": scores,
                 }
             )
-            parts.append(_best(found, n))
+            parts.append(found)
     if not parts:
         return pd.DataFrame({"query": [], "entry": [], "score": []})
-    return pd.concat(parts, ignore_index=True)
+    return _best(pd.concat(parts, ignore_index=True), n)
 
 
 def _side(df: DataFrame, name: str, id_column: str, vector: str, bucket: str | None) -> DataFrame:
@@ -203,7 +226,7 @@ def match_in_place(
             held.append(_Rows.of(travelling, "entry"))
         rows = np.arange(len(vector))
         queries = _Rows.of(pa.table({"id": rows, "bucket": bucket, "vector": vector}), "id")
-        found = _best(_match(queries, held[0], 1, False), 1)
+        found = _match(queries, held[0], 1, False)
         at = found["query"].to_numpy(dtype=np.int64)
         entry, score, missing = np.zeros(len(rows), np.int64), np.zeros(len(rows)), np.ones(len(rows), bool)
         entry[at], score[at], missing[at] = found["entry"], found["score"], False
