@@ -15,6 +15,7 @@ pair is ever written out. Which side travels is decided by counting:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -34,6 +35,7 @@ TRAVEL_ROWS = 20_000
 TRAVEL_BYTES = 256 * 1024 * 1024
 # Rows per block where both sides are large.
 BLOCK_ROWS = 20_000
+GROUPS_PER_CORE = 4
 # Size of one matrix product: small enough to stay in a core's cache.
 _BLOCK_QUERIES, _BLOCK_ENTRIES = 256, 1024
 # Scores are compared as whole multiples of the last digit that counts.
@@ -189,15 +191,21 @@ def top_matches(
         ]
     )
 
-    few_queries = _travelling(q, q.count(), travel_rows)
+    n_queries = q.count()
+    few_queries = _travelling(q, n_queries, travel_rows)
     if few_queries is not None:
         return _ranked(e.mapInArrow(_scan_entries(few_queries, n, earlier), schema), n)
-    few_entries = _travelling(e, e.count(), travel_rows)
+    n_entries = e.count()
+    few_entries = _travelling(e, n_entries, travel_rows)
     if few_entries is not None:
         # A query row meets all entries in one task, so its ranks are final there.
         ranked = T.StructType(schema.fields + [T.StructField("rank", T.IntegerType())])
         found = q.mapInArrow(_scan_queries(few_entries, n, earlier), ranked)
         return _ranked(found, n) if several_buckets else found
+    # Smaller blocks where full ones would not give every core some groups.
+    cores = entries.sparkSession.sparkContext.defaultParallelism
+    even = math.isqrt(n_queries * n_entries // (GROUPS_PER_CORE * cores))
+    block_rows = min(block_rows, max(even, 1000))
     return _ranked(_block_pairs(e, q, n, earlier, schema, block_rows), n)
 
 
