@@ -3,5 +3,21 @@
 from __future__ import annotations
 
 
+OP8 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS largest FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN largest END AS refers_to
+FROM m
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_warc_chunks": OP8,
+    }

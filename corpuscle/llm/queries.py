@@ -6,19 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuscle.llm import packing
+from corpuscle.llm import packing, warc
+from corpuscle.sources.shared import fresh_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
+        op8_warc_chunks,
         op10_best_fit_packing,
     )
     return {query.__name__: query for query in found}
