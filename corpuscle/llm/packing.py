@@ -20,10 +20,12 @@ ranked within their length and joined with it.
 
 from __future__ import annotations
 
-import os
+import sys
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from math import ceil, isqrt
 
 import numpy as np
@@ -39,14 +41,14 @@ SMALL_SHARE = 1 / 8
 # Rows of one length that are ranked together, at least.
 RANKED_TOGETHER = 512
 # Words whose ids a Python worker remembers, and the longest such word.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 REMEMBERED_CHARS = 40
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 _PIECES_ARROW = pa.schema(
     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
 )
-_BLANKS = str.maketrans("\t\n\r\v\f", "     ")
+_MARKS = ",.!?;:%&$#*|"
 
 
 def default_vocabulary() -> str:
@@ -56,39 +58,65 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Words(dict):
+    """Ids of words as little-endian bytes, encoded when first asked for."""
+
+    def __init__(self, vocabulary: str | None):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        super().__init__({"": b""})
+        self.tokenizer = Tokenizer.from_file(vocabulary or default_vocabulary())
+        self.merges = self.tokenizer.model
+        bytewise = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytewise = {ord(c): bytewise.pre_tokenize_str(c)[0][0] for c in map(chr, range(0x80, 0x250)) if c.isalpha()}
+
+    def encode(self, word: str) -> bytes:
+        if word.isalpha() and word == word.lower() and max(word) < "\u0250":
+            # Composed lower-case letters alone are one run that no earlier step changes.
+            found = (token.id for token in self.merges.tokenize(word.translate(self.bytewise)))
+        else:
+            found = self.tokenizer.encode(word, add_special_tokens=False).ids
+        ids = array("I", found)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        stem = word.rstrip(_MARKS)
+        # Marks after a letter are a token run of their own, and below U+0250 letters are
+        # composed and lower-cased one by one, so such words share the ids of their stem.
+        if stem and stem != word.lower() and stem[-1].isalpha() and max(word) < "\u0250" and "\u0130" not in word:
+            ids = self[stem.lower()] + self[word[len(stem) :]]
+        else:
+            ids = self.encode(word)
+        if len(word) <= REMEMBERED_CHARS:
+            self[word] = ids
+        return ids
+
+
 class _Encoder:
-    """Ids of texts as little-endian bytes; ids of words are remembered.
+    """Ids of texts as little-endian bytes.
 
     The tokenizer drops white space and no token reaches across it, so a text's
     ids are those of its words, one after the other.
     """
 
     def __init__(self, vocabulary: str | None):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        self.words = _Words(vocabulary)
 
-        self.tokenizer = Tokenizer.from_file(vocabulary or default_vocabulary())
-        self.known: dict[str, bytes] = {"": b""}
+    def __call__(self, text: str) -> bytes:
+        words = self.words
+        if len(words) > REMEMBERED:
+            words.clear()
+            words[""] = b""
+        return b"".join(map(words.__getitem__, text.replace("\n", " ").split(" ")))
 
-    def _learn(self, words: list[str], into: dict[str, bytes]) -> None:
-        for word, found in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
-            into[word] = np.asarray(found.ids, dtype="<u4").tobytes()
 
-    def __call__(self, text: str) -> bytes:
-        words = text.translate(_BLANKS).split(" ")
-        new = set(words).difference(self.known)
-        long = {w for w in new if len(w) > REMEMBERED_CHARS}
-        new -= long
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {"": b""}
-            new = {w for w in words if w and len(w) <= REMEMBERED_CHARS}
-        if new:
-            self._learn(list(new), self.known)
-        if not long:
-            return b"".join(map(self.known.__getitem__, words))
-        here: dict[str, bytes] = {}
-        self._learn(list(long), here)
-        return b"".join([self.known[w] if w in self.known else here[w] for w in words])
+@lru_cache(maxsize=1)
+def _encoder(vocabulary: str | None) -> _Encoder:
+    """One encoder for all tasks of a Python worker."""
+    return _Encoder(vocabulary)
 
 
 def pieces(
@@ -103,7 +131,7 @@ def pieces(
     tail = np.asarray([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _Encoder(vocabulary)
+        encode = _encoder(vocabulary)
         for batch in batches:
             rows: list[tuple] = []
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

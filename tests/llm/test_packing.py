@@ -54,7 +54,7 @@ def _expected_pieces(rows, capacity):
 
 def test_pack_against_whole_texts(spark):
     rng = random.Random(5)
-    words = ["a", "Don't", "é́́", "naïve", "  ", " x", "12 345", "<|endoftext|>", "…!?", "ΣΑΣ", "\x1c", "猫が好き", "\n\n", "y" * 70, "we'LL"]
+    words = ["a", "Don't", "é́́", "µm", "Ǆx,", "ª.", "DON.%%", "it's,", "naïve", "  ", " x", "12 345", "<|endoftext|>", "…!?", "ΣΑΣ", "\x1c", "猫が好き", "\n\n", "y" * 70, "we'LL"]
     rows = [(i, " ".join(rng.choice(words) for _ in range(rng.choice([0, 1, 5, 60, 400])))) for i in range(60)]
     rows += [(100, None), (101, ""), (3, rows[3][1]), (None, "no key"), (102, "word " * 9000)]
     docs = spark.createDataFrame(
