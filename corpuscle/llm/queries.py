@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuscle.llm import packing, warc
+from corpuscle.llm import licenses, packing, warc
 from corpuscle.sources.shared import fresh_path
 
 
@@ -18,6 +18,10 @@ def op8_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
 
 
+def op9_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op8_warc_chunks,
+        op9_license_diagonals,
         op10_best_fit_packing,
     )
     return {query.__name__: query for query in found}
