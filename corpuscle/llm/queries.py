@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuscle.llm import licenses, packing, warc
+from corpuscle.llm import jaccard, licenses, packing, warc
 from corpuscle.sources.shared import fresh_path
 
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(_table(spark, sf_dir, "documents"))
+
+
 def op8_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
 
@@ -28,6 +32,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
+        op5_ngram_jaccard,
         op8_warc_chunks,
         op9_license_diagonals,
         op10_best_fit_packing,
