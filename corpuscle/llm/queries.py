@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuscle.llm import jaccard, licenses, packing, warc
+from corpuscle.llm import jaccard, licenses, packing, topk, warc
 from corpuscle.sources.shared import fresh_path
 
 
@@ -14,6 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_uniform_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors.filter("vec_id % 100 = 0"), vectors)
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +37,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
+        op4_uniform_threshold_topk,
         op5_ngram_jaccard,
         op8_warc_chunks,
         op9_license_diagonals,
