@@ -93,11 +93,17 @@ _powers = _Powers()
 class Hashed:
     """A slice with a prefix sum that gives the hash of any run of its bytes."""
 
-    def __init__(self, part: Slice):
+    def __init__(self, part: Slice, fold_latin: bool = False):
+        """``fold_latin``: capital letters of the Latin-1 block count as small ones, too."""
         self.part = part
         n = len(part.data)
         up, self.down = _powers(n + 1)
-        terms = LOWER[part.data].astype(np.uint64)
+        lower = LOWER[part.data]
+        if fold_latin and n:
+            d = part.data
+            capital = (d[1:] >= 0x80) & (d[1:] <= 0x9E) & (d[1:] != 0x97) & (d[:-1] == 0xC3)
+            lower[1:][capital] += 0x20
+        terms = lower.astype(np.uint64)
         terms += np.uint64(1)
         terms *= up[:n]
         self.sums = np.zeros(n + 1, dtype=np.uint64)

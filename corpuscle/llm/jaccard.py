@@ -16,7 +16,7 @@ in a branch for certain. The order puts frequent shingles last.
    component in the branch of a group of near copies, however large.
 3. In branches with several components, the sets outside the largest one descend:
    first to pages, then to points of other components, bounded by the minima.
-4. Pairs that survive are verified on their whole shingle sets.
+4. Pairs that survive are verified on their whole shingle sets, block against block.
 
 No branch is gathered in one task: pivots are minima, and all else are joins
 that Spark can split.
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,13 @@ PERCENT = 80
 GROUPS = 64
 # The frequent shingles that come last in the order; any set of them gives the same links.
 FREQUENT = 100_000
-FREQUENT_FROM = 32
+FREQUENT_FROM = 12
+COUNTER_BITS = 23
+# Places of the order that a set keeps to tell which of its first shingles another set would have met.
+MARKS = 8
 PAGE = 64
+# Sets of a family that are compared with each other in one task.
+BLOCK = 256
 # Rows of ids that a join may copy to every executor.
 COPIED_ROWS = 1_000_000
 
@@ -77,22 +83,27 @@ def set_id(found: np.ndarray) -> bytes:
 def frequent_shingles(docs: DataFrame, k: int = WORDS, at_most: int = FREQUENT, at_least: int = FREQUENT_FROM) -> np.ndarray:
     """Shingles that many texts have, the rarest of them first; at most ``at_most``.
 
-    Shingles that stand in three texts of a slice are counted; only small hashes,
-    as others come late in the order anyway. It is an order, not a filter.
+    A task counts its shingles in a table of counters and keeps those whose
+    counter reaches four; only small hashes, as others come late in the order
+    anyway. It is an order, not a filter: a miscount costs time, no link.
     """
     limit = np.uint64((1 << 64) * 2 // 5)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, int] = {}
+        counters = np.zeros(1 << COUNTER_BITS, dtype=np.uint16)
         for batch in batches:
             for part in hashing.slices(batch.column(0)):
                 words = hashing.Hashed(part).words(hashing.NOT_BLANK)
                 gram = hashing.grams(words, k)[1]
                 found, n = np.unique(gram[gram < limit], return_counts=True)
-                for g, m in zip(found[n > 2].tolist(), n[n > 2].tolist(), strict=True):
-                    seen[g] = seen.get(g, 0) + m
-            if len(seen) > 4 * at_most:
-                seen = dict(sorted(seen.items(), key=lambda x: -x[1])[: 2 * at_most])
+                place = (found & np.uint64(len(counters) - 1)).astype(np.int64)
+                total = np.minimum(counters[place].astype(np.int64) + n, 60_000)
+                counters[place] = total
+                often = total > 3
+                seen.update(zip(found[often].tolist(), total[often].tolist(), strict=True))
+            if len(seen) > 8 * at_most:
+                seen = dict(sorted(seen.items(), key=lambda x: -x[1])[: 4 * at_most])
         keys = np.fromiter(seen.keys(), dtype=np.uint64, count=len(seen)).view(np.int64)
         yield pa.record_batch([pa.array(keys), pa.array(list(seen.values()), pa.int64())], names=["shingle", "n"])
 
@@ -101,11 +112,11 @@ def frequent_shingles(docs: DataFrame, k: int = WORDS, at_most: int = FREQUENT,
     return np.array([r["shingle"] for r in reversed(rows)], dtype=np.int64).view(np.uint64)
 
 
-_POINTS = "row_id bigint, doc_id bigint, n bigint, set_id binary, branches array<bigint>, counts array<int>"
+_POINTS = "row_id bigint, doc_id bigint, n bigint, set_id binary, branches array<bigint>, marks array<bigint>, counts array<int>"
 _POINTS_ARROW = pa.schema(
     [
         ("row_id", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.binary()),
-        ("branches", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())),
+        ("branches", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())),
     ]
 )
 
@@ -116,26 +127,27 @@ def points(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> DataF
     known = frequent[place]
 
     def ordered(found: np.ndarray, first: int) -> np.ndarray:
-        """The first shingles of a set: rare ones by hash, then frequent ones by rank."""
+        """Places in the order of a set's first shingles: rare ones by hash, then frequent ones by rank."""
+        rare = (found >> np.uint64(2)).view(np.int64)
         if not len(known):
-            return found[:first]
+            return rare[:first]
         at = np.minimum(np.searchsorted(known, found), len(known) - 1)
         late = known[at] == found
         if not late.any():
-            return found[:first]
-        rare = found[~late]
-        return np.concatenate((rare, found[late][np.argsort(place[at[late]], kind="stable")]))[:first]
+            return rare[:first]
+        return np.concatenate((rare[~late], (1 << 62) + np.sort(place[at[late]])))[:first]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in hashing.slices(batch.column(2)):
-                n, ids, branches, counts, ends = [], [], [], [], [0]
+                n, ids, branches, marks, counts, ends = [], [], [], [], [], [0]
                 for found in shingle_sets(part, k):
                     size = len(found)
                     n.append(size)
                     ids.append(set_id(found) if size else None)
                     first = ordered(found, size - (percent * size + 99) // 100 + 1) if size else found
                     branches.append(first)
+                    marks.append(first[(len(first) * np.arange(1, MARKS + 1) + MARKS - 1) // MARKS - 1].tolist() if size else [])
                     ends.append(ends[-1] + len(first))
                     counts.append(np.bincount((found & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS))
                 rows = len(n)
@@ -145,7 +157,8 @@ def points(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> DataF
                         batch.column(1).slice(part.first, rows),
                         pa.array(n, pa.int64()),
                         pa.array(ids, pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(branches).view(np.int64))),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(branches).astype(np.int64))),
+                        pa.array(marks, pa.list_(pa.int64())),
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(rows + 1, dtype=np.int32) * GROUPS), pa.array(np.concatenate(counts).astype(np.int32))
                         ),
@@ -170,45 +183,78 @@ def _bounded(a: str, b: str, n_a: str, n_b: str, percent: int) -> Column:
     return F.expr(f"(100 + {percent}) * {_shared_at_most(a, b)} >= {percent} * ({n_a} + {n_b})")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links among ``pairs`` (``a``, ``b``) after comparing the whole sets.
+def _verified(pairs: DataFrame, stands: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links among the stored ``pairs`` (``a``, ``b``) after comparing the whole sets.
 
-    ``sets`` gives each set's row ``rep``, one document that has it, and its id.
-    Each side's shingles are made anew from that document and moved once.
+    The sets that pairs tie together form families. A family is cut into blocks
+    of about ``BLOCK`` sets and a pair goes to the tile of its two blocks, so a
+    set moves once per block of its family and not once per pair. Small families
+    share a tile. Shingles are made anew from a document that has the set.
     """
+    family = materialise(components(pairs), "jaccard-families")
+    sizes = family.groupBy("component").agg(F.count("*").alias("sets"))
+    shared_tiles = max(1, ceil(family.count() / BLOCK))
+    placed = materialise(
+        family.join(small_side(sizes, "jaccard-family-sizes", COPIED_ROWS), "component").select(
+            "node",
+            F.expr(f"if(sets > {BLOCK}, component, -1 - pmod(xxhash64(component), {shared_tiles}))").alias("family"),
+            F.expr(f"if(sets > {BLOCK}, cast(pmod(xxhash64(node), ceil(sets / {BLOCK})) as int), 0)").alias("block"),
+        ),
+        "jaccard-blocks",
+    )
+    at = lambda c: placed.select(F.col("node").alias(c), F.col("block").alias(f"{c}_block"))
+    tiled = (
+        pairs.join(placed.select(F.col("node").alias("a"), "family", F.col("block").alias("a_block")), "a")
+        .join(at("b"), "b")
+        .select("family", F.least("a_block", "b_block").alias("lo"), F.greatest("a_block", "b_block").alias("hi"), "a", "b")
+    )
+    tiled = materialise(tiled, "jaccard-tiles")
+    asked = (
+        tiled.select("family", "lo", "hi", F.explode(F.array("a", "b")).alias("rep"))
+        .distinct()
+        .join(stands.select("rep", "doc_id", "set_id"), "rep")
+        .groupBy("doc_id")
+        .agg(F.collect_list(F.struct("set_id", "rep", "family", "lo", "hi")).alias("asked"))
+    )
+    columns = "family bigint, lo int, hi int, rep bigint, shingles array<bigint>"
+    schema = pa.schema([("family", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("rep", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in hashing.slices(batch.column(0)):
                 wanted = batch.column(1).slice(part.first, len(part.bounds) - 1).to_pylist()
-                own, keys, lists, ends = [], [], [], [0]
-                for found, asked in zip(shingle_sets(part, k), wanted, strict=True):
+                rows, lists = [], []
+                for found, tiles in zip(shingle_sets(part, k), wanted, strict=True):
                     here = set_id(found)
-                    for one in asked:
-                        if one["set_id"] == here:
-                            own.append(one["rep"])
-                            keys.append(one["to"])
+                    for tile in tiles:
+                        if tile["set_id"] == here:
+                            rows.append((tile["family"], tile["lo"], tile["hi"], tile["rep"]))
                             lists.append(found)
-                            ends.append(ends[-1] + len(found))
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
                 values = np.concatenate(lists).view(np.int64) if lists else np.zeros(0, np.int64)
-                yield pa.record_batch(
-                    [pa.array(own, pa.int64()), pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))],
-                    names=["rep", "to", "shingles"],
-                )
-
-    def side(asked: DataFrame, name: str) -> DataFrame:
-        # One row per document, with the sets that are asked of it and where each goes.
-        with_doc = asked.join(sets.select("rep", "doc_id", "set_id"), "rep")
-        lists = with_doc.groupBy("doc_id").agg(F.collect_list(F.struct("set_id", "rep", "to")).alias("asked"))
-        joined = docs.join(small_side(lists, name, COPIED_ROWS), "doc_id").select("text", "asked")
-        return joined.mapInArrow(expand, "rep bigint, to bigint, shingles array<bigint>")
-
-    left = side(pairs.select(F.col("a").alias("rep"), F.col("b").alias("to")), "jaccard-left")
-    right = side(pairs.select(F.col("b").alias("rep"), F.col("b").alias("to")).distinct(), "jaccard-right")
-    right = right.select(F.col("to"), F.col("shingles").alias("others"))
-    shared = F.size(F.array_intersect("shingles", "others"))
-    union = F.size("shingles") + F.size("others") - shared
-    return left.join(right, "to").filter(100 * shared >= percent * union).select(F.col("rep").alias("a"), F.col("to").alias("b"))
+                keys = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=False)] or [pa.array([], f.type) for f in list(schema)[:4]]
+                yield pa.record_batch([*keys, pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], schema=schema)
+
+    def compare(sets: pa.Table, here: pa.Table) -> pa.Table:
+        lists = sets.column("shingles").combine_chunks()
+        ends = lists.offsets.to_numpy()
+        values = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+        place = {rep: i for i, rep in enumerate(sets.column("rep").to_pylist())}
+        a, b = [], []
+        for x, y in zip(here.column("a").to_pylist(), here.column("b").to_pylist(), strict=True):
+            i, j = place[x], place[y]
+            both = np.concatenate((values[ends[i] : ends[i + 1]], values[ends[j] : ends[j + 1]]))
+            both.sort(kind="stable")
+            shared = int((both[1:] == both[:-1]).sum())
+            if 100 * shared >= percent * (len(both) - shared):
+                a.append(x)
+                b.append(y)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    texts = docs.join(small_side(asked, "jaccard-asked", COPIED_ROWS), "doc_id").select("text", "asked")
+    tile = ["family", "lo", "hi"]
+    sets = texts.mapInArrow(expand, columns).groupBy(*tile)
+    return sets.cogroup(tiled.groupBy(*tile)).applyInArrow(compare, "a bigint, b bigint")
 
 
 def similar_groups(
@@ -230,7 +276,7 @@ def similar_groups(
     # The row that stands for each set, with its own document.
     stands = materialise(
         keyed.join(sets.select(F.col("rep").alias("row_id")), "row_id", "left_semi")
-        .select(F.col("row_id").alias("rep"), "doc_id", "set_id", "n", "branches", "counts"),
+        .select(F.col("row_id").alias("rep"), "doc_id", "set_id", "n", "branches", "marks", "counts"),
         "jaccard-stands",
     )
     links = _links(stands, docs, k, percent)
@@ -247,28 +293,47 @@ def similar_groups(
     )
 
 
+def _unshared_fit(percent: int) -> Column:
+    """The two sets may be similar, seen from their first shingles.
+
+    ``both`` of these are common. Those of one set that come before the last
+    one of the other, and aren't common, are no members of the other at all.
+    """
+    met = lambda x, y: (
+        f"((first_{x} * size(filter(marks_{x}, v -> v <= element_at(marks_{y}, -1))) + {MARKS - 1}) div {MARKS})"
+    )
+    return F.expr(f"{100 + percent} * ({met('a', 'b')} + {met('b', 'a')} - 2 * both) <= {100 - percent} * (n_a + n_b)")
+
+
 def _links(stands: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     leaves = stands.select("rep", F.explode("branches").alias("branch"))
     pivots = leaves.groupBy("branch").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).filter("members > 1")
     members = materialise(leaves.join(small_side(pivots, "jaccard-pivots", COPIED_ROWS), "branch"), "jaccard-members")
-    point = lambda c: stands.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("counts").alias(f"c_{c}"))
-
-    to_pivots = members.filter("rep != pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    first = materialise(
-        to_pivots.join(point("a"), "a")
-        .join(point("b"), "b")
-        .filter(_fits("n_a", "n_b", percent))
-        .filter(_bounded("c_a", "c_b", "n_a", "n_b", percent))
-        .select("a", "b"),
-        "jaccard-first",
+    size = lambda c: stands.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"))
+    point = lambda c: stands.select(F.col("rep").alias(c), F.col("counts").alias(f"c_{c}"))
+    edge = lambda c: stands.select(
+        F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.size("branches").alias(f"first_{c}"), F.col("marks").alias(f"marks_{c}")
+    )
+    bounded = lambda pairs: (
+        pairs.join(point("a"), "a").join(point("b"), "b").filter(_bounded("c_a", "c_b", "n_a", "n_b", percent)).select("a", "b")
     )
-    links = materialise(_verified(first, stands, docs, k, percent), "jaccard-links")
+
+    to_pivots = materialise(
+        members.filter("rep != pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct(), "jaccard-to-pivots"
+    )
+    first = bounded(to_pivots.join(size("a"), "a").join(size("b"), "b").filter(_fits("n_a", "n_b", percent)))
+    links = materialise(_verified(materialise(first, "jaccard-first"), stands, docs, k, percent), "jaccard-links")
 
     found = components(links)
-    placed = members.select("branch", "rep", "members").join(found, F.col("rep") == F.col("node"), "left").select(
-        "branch", "rep", "members", F.coalesce("component", "rep").alias("component")
+    # In a branch of two the pivot was all there was to compare with.
+    placed = materialise(
+        members.filter("members > 2")
+        .select("branch", "rep", "members")
+        .join(found, F.col("rep") == F.col("node"), "left")
+        .select("branch", "rep", "members", F.coalesce("component", "rep").alias("component"))
+        .join(size("rep"), "rep"),
+        "jaccard-placed",
     )
-    placed = materialise(placed, "jaccard-placed")
     largest = (
         placed.groupBy("branch", "component")
         .agg(F.count("*").alias("own"))
@@ -277,32 +342,44 @@ def _links(stands: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
         .filter("different > 1")
         .drop("different")
     )
-    mixed = materialise(
-        placed.join(largest, "branch")
-        .join(point("rep"), "rep")
-        .withColumn("tile", F.expr(f"struct(cast(floor(ln(n_rep) / ln(1.1)) as int) as size, cast(pmod(xxhash64(rep), ceil(members / {PAGE})) as int) as share)")),
-        "jaccard-mixed",
-    )
+    mixed = materialise(placed.join(largest, "branch"), "jaccard-mixed")
     if mixed.isEmpty():
         return links
-    pages = mixed.groupBy("branch", "tile").agg(
+    met = _met_in_leaves(mixed.filter(F.col("members") <= PAGE), percent).unionByName(
+        _met_in_pages(mixed.filter(F.col("members") > PAGE), point, percent)
+    )
+    # Two sets of different components are met in every branch that they share.
+    pairs = met.groupBy(F.greatest("o", "rep").alias("a"), F.least("o", "rep").alias("b")).agg(F.count("*").alias("both"))
+    near = pairs.join(edge("a"), "a").join(edge("b"), "b").filter(_unshared_fit(percent)).select("a", "b", "n_a", "n_b")
+    second = bounded(near.join(to_pivots, ["a", "b"], "left_anti"))
+    return links.unionByName(_verified(materialise(second, "jaccard-second"), stands, docs, k, percent))
+
+
+def _outside(mixed: DataFrame) -> DataFrame:
+    return mixed.filter("component != largest").select("branch", F.col("rep").alias("o"), F.col("component").alias("own"), F.col("n_rep").alias("n_o"))
+
+
+# Of two sets outside the largest component one descends, and it meets only other components.
+_DESCENDS = "own != component and (component = largest or rep > o)"
+
+
+def _met_in_leaves(mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a branch that is one page: a set outside meets the branch's sets."""
+    return _outside(mixed).join(mixed, "branch").filter(_DESCENDS).filter(_fits("n_o", "n_rep", percent)).select("o", "rep")
+
+
+def _met_in_pages(mixed: DataFrame, point, percent: int) -> DataFrame:
+    """Pairs of larger branches: a set outside visits the pages that its point can share enough with."""
+    tile = f"struct(cast(floor(ln(n_rep) / ln(1.1)) as int) as size, cast(pmod(xxhash64(rep), ceil(members / {PAGE})) as int) as share)"
+    tiled = mixed.join(point("rep"), "rep").withColumn("tile", F.expr(tile))
+    pages = tiled.groupBy("branch", "tile").agg(
         F.min("n_rep").alias("n_least"), F.max("n_rep").alias("n_most"),
         F.array(*[F.max(F.col("c_rep")[i]) for i in range(GROUPS)]).alias("c_page"),
     )
-    outside = mixed.filter("component != largest").select(
-        "branch", F.col("rep").alias("o"), F.col("component").alias("own"), F.col("n_rep").alias("n_o"), F.col("c_rep").alias("c_o")
-    )
     near = F.expr(f"100 * n_o >= {percent} * n_least and 100 * n_most >= {percent} * n_o")
-    visits = outside.join(pages, "branch").filter(near).filter(_bounded("c_o", "c_page", "n_o", "n_least", percent))
-    met = (
-        visits.select("branch", "tile", "o", "own", "n_o", "c_o")
-        .join(mixed.select("branch", "tile", "rep", "component", "largest", "n_rep", "c_rep"), ["branch", "tile"])
-        .filter("own != component and (component = largest or rep > o)")
-        .filter(_fits("n_o", "n_rep", percent))
-        .filter(_bounded("c_o", "c_rep", "n_o", "n_rep", percent))
-        .select(F.col("rep").alias("a"), F.col("o").alias("b"), F.greatest("o", "rep").alias("later"), F.least("o", "rep").alias("pivot"))
-        .distinct()
+    visits = (
+        _outside(mixed).join(point("o"), "o").join(pages, "branch").filter(near)
+        .filter(_bounded("c_o", "c_page", "n_o", "n_least", percent))
+        .select("branch", "tile", "o", "own", "n_o")
     )
-    known = first.select(F.col("a").alias("later"), F.col("b").alias("pivot"))
-    second = materialise(met.join(known, ["later", "pivot"], "left_anti").select("a", "b"), "jaccard-second")
-    return links.unionByName(_verified(second, stands, docs, k, percent))
+    return visits.join(tiled.drop("c_rep"), ["branch", "tile"]).filter(_DESCENDS).filter(_fits("n_o", "n_rep", percent)).select("o", "rep")

@@ -60,6 +60,7 @@ def test_against_all_pairs(spark, seed, monkeypatch):
     monkeypatch.setattr(jaccard, "FREQUENT_FROM", 4)
     monkeypatch.setattr(jaccard.frequent_shingles, "__defaults__", (5, 1000, 4))
     monkeypatch.setattr(jaccard, "PAGE", 5)
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
     rows = _rows(seed)
     assert _got(spark, rows) == _expected(rows)
 
