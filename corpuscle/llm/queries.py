@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuscle.llm import jaccard, licenses, packing, topk, warc
+from corpuscle.llm import jaccard, licenses, packing, topk, toxicity, warc
 from corpuscle.sources.shared import fresh_path
 
 
@@ -23,6 +23,11 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(_table(spark, sf_dir, "documents"))
 
 
+def op6_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op8_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
 
@@ -39,6 +44,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op4_uniform_threshold_topk,
         op5_ngram_jaccard,
+        op6_weak_toxicity,
         op8_warc_chunks,
         op9_license_diagonals,
         op10_best_fit_packing,
