@@ -14,8 +14,9 @@ in a branch for certain. The order puts frequent shingles last.
 1. Equal sets become one; links are only sought between different sets.
 2. Every set is compared with the smallest set of each branch. That leaves one
    component in the branch of a group of near copies, however large.
-3. In branches with several components, the sets outside the largest one descend:
-   first to pages, then to points of other components, bounded by the minima.
+3. In branches with several components, the sets outside the largest one meet a
+   few of its members; those still outside then descend: first to pages, then to
+   points of other components, bounded by the minima.
 4. Pairs that survive are verified on their whole shingle sets, block against block.
 
 No branch is gathered in one task: pivots are minima, and all else are joins
@@ -47,6 +48,8 @@ COUNTER_BITS = 23
 # Places of the order that a set keeps to tell which of its first shingles another set would have met.
 MARKS = 8
 PAGE = 64
+# Members of the largest component of a branch that the others meet before all of them.
+MATES = 8
 # Sets of a family that are compared with each other in one task.
 BLOCK = 256
 # Rows of ids that a join may copy to every executor.
@@ -296,63 +299,105 @@ def similar_groups(
 def _unshared_fit(percent: int) -> Column:
     """The two sets may be similar, seen from their first shingles.
 
-    ``both`` of these are common. Those of one set that come before the last
-    one of the other, and aren't common, are no members of the other at all.
+    Of those of one set that come before the last one of the other, the ones
+    that aren't common are no members of the other at all.
     """
     met = lambda x, y: (
         f"((first_{x} * size(filter(marks_{x}, v -> v <= element_at(marks_{y}, -1))) + {MARKS - 1}) div {MARKS})"
     )
-    return F.expr(f"{100 + percent} * ({met('a', 'b')} + {met('b', 'a')} - 2 * both) <= {100 - percent} * (n_a + n_b)")
+    both = "size(array_intersect(branches_a, branches_b))"
+    return F.expr(f"{100 + percent} * ({met('a', 'b')} + {met('b', 'a')} - 2 * {both}) <= {100 - percent} * (n_a + n_b)")
+
+
+class _Index:
+    """The branches that sets share, and the tests that a pair of sets has to pass."""
+
+    def __init__(self, stands: DataFrame, docs: DataFrame, k: int, percent: int):
+        self.stands, self.docs, self.k, self.percent = stands, docs, k, percent
+        leaves = stands.select("rep", "n", F.explode("branches").alias("branch"))
+        shared = leaves.groupBy("branch").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).filter("members > 1")
+        shared = shared.join(self.column("pivot", n="pivot_n"), "pivot")
+        self.members = materialise(leaves.join(small_side(shared, "jaccard-pivots", COPIED_ROWS), "branch"), "jaccard-members")
+        own = self.members.groupBy("rep").agg(F.collect_list("branch").alias("shared"))
+        self.edges = materialise(
+            stands.join(own, "rep").select("rep", "n", F.size("branches").alias("first"), "marks", F.col("shared").alias("branches")),
+            "jaccard-edges",
+        )
+
+    def column(self, key: str, **columns: str) -> DataFrame:
+        return self.stands.select(F.col("rep").alias(key), *[F.col(c).alias(name) for c, name in columns.items()])
+
+    def _side(self, c: str) -> DataFrame:
+        return self.edges.select(F.col("rep").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "first", "marks", "branches")])
+
+    def links(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The links among distinct ``pairs`` (``a``, ``b``)."""
+        near = (
+            pairs.join(self._side("a"), "a").join(self._side("b"), "b")
+            .filter(_fits("n_a", "n_b", self.percent)).filter(_unshared_fit(self.percent))
+            .select("a", "b", "n_a", "n_b")
+        )
+        near = materialise(near, f"jaccard-near-{name}")
+        bounded = (
+            near.join(self.column("a", counts="c_a"), "a").join(self.column("b", counts="c_b"), "b")
+            .filter(_bounded("c_a", "c_b", "n_a", "n_b", self.percent))
+            .select("a", "b")
+        )
+        pairs = materialise(bounded, f"jaccard-pairs-{name}")
+        return materialise(_verified(pairs, self.stands, self.docs, self.k, self.percent), f"jaccard-links-{name}")
+
+    def mixed(self, links: DataFrame) -> DataFrame:
+        """Members of branches that hold several components, with the largest one.
+
+        In a branch of two the pivot was all there was to compare with.
+        """
+        found = components(links)
+        placed = materialise(
+            self.members.filter("members > 2")
+            .join(found, F.col("rep") == F.col("node"), "left")
+            .select("branch", "rep", F.col("n").alias("n_rep"), "members", F.coalesce("component", "rep").alias("component")),
+            "jaccard-placed",
+        )
+        largest = (
+            placed.groupBy("branch", "component")
+            .agg(F.count("*").alias("own"))
+            .groupBy("branch")
+            .agg(F.max_by("component", F.struct("own", "component")).alias("largest"), F.count("*").alias("different"))
+            .filter("different > 1")
+            .drop("different")
+        )
+        return materialise(placed.join(largest, "branch"), "jaccard-mixed")
+
+
+def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
+    return pairs.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct()
 
 
 def _links(stands: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    leaves = stands.select("rep", F.explode("branches").alias("branch"))
-    pivots = leaves.groupBy("branch").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).filter("members > 1")
-    members = materialise(leaves.join(small_side(pivots, "jaccard-pivots", COPIED_ROWS), "branch"), "jaccard-members")
-    size = lambda c: stands.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"))
-    point = lambda c: stands.select(F.col("rep").alias(c), F.col("counts").alias(f"c_{c}"))
-    edge = lambda c: stands.select(
-        F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.size("branches").alias(f"first_{c}"), F.col("marks").alias(f"marks_{c}")
+    index = _Index(stands, docs, k, percent)
+    to_pivots = index.members.filter("rep != pivot").filter(_fits("n", "pivot_n", percent))
+    decided = materialise(_ordered(to_pivots, "rep", "pivot"), "jaccard-to-pivots")
+    links = index.links(decided, "pivots")
+
+    # Sets outside the largest component of a branch meet a few of its members: in a group of near
+    # copies, where a set is similar to some of the others, most of them come in.
+    mixed = index.mixed(links)
+    mates = (
+        mixed.filter("component = largest")
+        .groupBy("branch", F.expr(f"pmod(xxhash64(rep, 7), {MATES})").alias("share"))
+        .agg(F.min("rep").alias("mate"), F.min_by("n_rep", "rep").alias("n_mate"))
     )
-    bounded = lambda pairs: (
-        pairs.join(point("a"), "a").join(point("b"), "b").filter(_bounded("c_a", "c_b", "n_a", "n_b", percent)).select("a", "b")
-    )
-
-    to_pivots = materialise(
-        members.filter("rep != pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct(), "jaccard-to-pivots"
-    )
-    first = bounded(to_pivots.join(size("a"), "a").join(size("b"), "b").filter(_fits("n_a", "n_b", percent)))
-    links = materialise(_verified(materialise(first, "jaccard-first"), stands, docs, k, percent), "jaccard-links")
+    to_mates = _outside(mixed).join(mates, "branch").filter(_fits("n_o", "n_mate", percent))
+    to_mates = materialise(_ordered(to_mates, "o", "mate").join(decided, ["a", "b"], "left_anti"), "jaccard-to-mates")
+    links = links.unionByName(index.links(to_mates, "mates"))
+    decided = decided.unionByName(to_mates)
 
-    found = components(links)
-    # In a branch of two the pivot was all there was to compare with.
-    placed = materialise(
-        members.filter("members > 2")
-        .select("branch", "rep", "members")
-        .join(found, F.col("rep") == F.col("node"), "left")
-        .select("branch", "rep", "members", F.coalesce("component", "rep").alias("component"))
-        .join(size("rep"), "rep"),
-        "jaccard-placed",
-    )
-    largest = (
-        placed.groupBy("branch", "component")
-        .agg(F.count("*").alias("own"))
-        .groupBy("branch")
-        .agg(F.max_by("component", F.struct("own", "component")).alias("largest"), F.count("*").alias("different"))
-        .filter("different > 1")
-        .drop("different")
-    )
-    mixed = materialise(placed.join(largest, "branch"), "jaccard-mixed")
-    if mixed.isEmpty():
-        return links
+    mixed = index.mixed(links)
     met = _met_in_leaves(mixed.filter(F.col("members") <= PAGE), percent).unionByName(
-        _met_in_pages(mixed.filter(F.col("members") > PAGE), point, percent)
+        _met_in_pages(mixed.filter(F.col("members") > PAGE), index, percent)
     )
-    # Two sets of different components are met in every branch that they share.
-    pairs = met.groupBy(F.greatest("o", "rep").alias("a"), F.least("o", "rep").alias("b")).agg(F.count("*").alias("both"))
-    near = pairs.join(edge("a"), "a").join(edge("b"), "b").filter(_unshared_fit(percent)).select("a", "b", "n_a", "n_b")
-    second = bounded(near.join(to_pivots, ["a", "b"], "left_anti"))
-    return links.unionByName(_verified(materialise(second, "jaccard-second"), stands, docs, k, percent))
+    rest = materialise(_ordered(met, "o", "rep").join(decided, ["a", "b"], "left_anti"), "jaccard-rest")
+    return links.unionByName(index.links(rest, "rest"))
 
 
 def _outside(mixed: DataFrame) -> DataFrame:
@@ -368,17 +413,17 @@ def _met_in_leaves(mixed: DataFrame, percent: int) -> DataFrame:
     return _outside(mixed).join(mixed, "branch").filter(_DESCENDS).filter(_fits("n_o", "n_rep", percent)).select("o", "rep")
 
 
-def _met_in_pages(mixed: DataFrame, point, percent: int) -> DataFrame:
+def _met_in_pages(mixed: DataFrame, index: _Index, percent: int) -> DataFrame:
     """Pairs of larger branches: a set outside visits the pages that its point can share enough with."""
     tile = f"struct(cast(floor(ln(n_rep) / ln(1.1)) as int) as size, cast(pmod(xxhash64(rep), ceil(members / {PAGE})) as int) as share)"
-    tiled = mixed.join(point("rep"), "rep").withColumn("tile", F.expr(tile))
+    tiled = mixed.join(index.column("rep", counts="c_rep"), "rep").withColumn("tile", F.expr(tile))
     pages = tiled.groupBy("branch", "tile").agg(
         F.min("n_rep").alias("n_least"), F.max("n_rep").alias("n_most"),
         F.array(*[F.max(F.col("c_rep")[i]) for i in range(GROUPS)]).alias("c_page"),
     )
     near = F.expr(f"100 * n_o >= {percent} * n_least and 100 * n_most >= {percent} * n_o")
     visits = (
-        _outside(mixed).join(point("o"), "o").join(pages, "branch").filter(near)
+        _outside(mixed).join(index.column("o", counts="c_o"), "o").join(pages, "branch").filter(near)
         .filter(_bounded("c_o", "c_page", "n_o", "n_least", percent))
         .select("branch", "tile", "o", "own", "n_o")
     )
