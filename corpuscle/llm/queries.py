@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuscle.llm import jaccard, licenses, packing, topk, toxicity, urls, warc
+from corpuscle.llm import html_text, jaccard, licenses, packing, topk, toxicity, urls, warc
 from corpuscle.sources.shared import fresh_path
 
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op3_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"), urls.fit(urls.labelled_urls(spark)))
 
@@ -46,6 +50,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
+        op2_html_blocks,
         op3_url_trees,
         op4_uniform_threshold_topk,
         op5_ngram_jaccard,
