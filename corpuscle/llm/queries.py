@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuscle.llm import html_text, jaccard, licenses, packing, topk, toxicity, urls, warc
+from corpuscle.llm import decontaminate, html_text, jaccard, licenses, packing, topk, toxicity, urls, warc
 from corpuscle.sources.shared import fresh_path
 
 
@@ -36,6 +36,10 @@ def op6_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op7_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
 
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_uniform_threshold_topk,
         op5_ngram_jaccard,
         op6_weak_toxicity,
+        op7_pigeonhole_decontamination,
         op8_warc_chunks,
         op9_license_diagonals,
         op10_best_fit_packing,
