@@ -296,6 +296,26 @@ def similar_groups(
     )
 
 
+def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row of each component, that of the smallest key, with all its columns.
+
+    Rows without key stay. Of repeated rows of a key one stays; a key with
+    several texts stays with each of them if one of them does.
+    """
+    groups = similar_groups(docs, key=key, text=text, k=k, percent=percent)
+    kept = materialise(
+        groups.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_copies")), "jaccard-kept"
+    )
+    joined = docs.join(small_side(kept, "jaccard-kept-ids", COPIED_ROWS), F.col(key).cast("bigint") == F.col("_kept"))
+    if kept.filter("_copies > 1").isEmpty():
+        stay = joined.select(*docs.columns)
+    else:
+        once = joined.filter("_copies = 1").select(*docs.columns)
+        stay = once.unionByName(joined.filter("_copies > 1").dropDuplicates([key, text]).select(*docs.columns))
+    keyless = docs.filter(F.col(key).isNull())
+    return stay if keyless.isEmpty() else stay.unionByName(keyless)
+
+
 def _unshared_fit(percent: int) -> Column:
     """The two sets may be similar, seen from their first shingles.
 

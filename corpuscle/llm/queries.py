@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpuscle.llm import decontaminate, html_text, jaccard, licenses, packing, topk, toxicity, urls, warc
+from corpuscle.llm import decontaminate, html_text, jaccard, licenses, ordinal, packing, topk, toxicity, urls, warc
 from corpuscle.sources.shared import fresh_path
 
 
@@ -14,6 +15,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+GRADES = 3
+
+
+def grade() -> Column:
+    """Graded ratings from the two labels: 0 bad, 1 good but toxic, 2 good."""
+    return F.col("quality") * (2 - F.col("toxic"))
+
+
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return ordinal.score(docs, ordinal.fit(docs, _table(spark, sf_dir, "labels"), grade(), GRADES))
+
+
 def op2_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
@@ -52,8 +66,15 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
+        op1_ordinal_quality,
         op2_html_blocks,
         op3_url_trees,
         op4_uniform_threshold_topk,
@@ -63,5 +84,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_warc_chunks,
         op9_license_diagonals,
         op10_best_fit_packing,
+        pipeline,
     )
     return {query.__name__: query for query in found}

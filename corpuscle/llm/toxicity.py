@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from corpuscle.llm import hashing
 from corpuscle.llm.labelled import held_out, labelled_sample
@@ -260,6 +261,25 @@ def fit(docs: DataFrame, labels: DataFrame, *, rows: int = TRAINING_ROWS, key: s
     return Model(features[used], weights[used], bias, accuracy, groups)
 
 
+def probabilities(texts: pa.Array, model: Model) -> np.ndarray:
+    """Probability of class 1 of each text."""
+    known, weights = model.features, model.weights
+    maybe = np.zeros(1 << 16, dtype=bool)
+    maybe[(known & np.uint64(0xFFFF)).astype(np.int64)] = True
+    margin = np.full(len(texts), model.bias)
+    for part in hashing.slices(texts):
+        n = len(part.bounds) - 1
+        owner, found = _features(part)
+        likely = np.flatnonzero(maybe[(found & np.uint64(0xFFFF)).astype(np.int64)])
+        owner, found = owner[likely], found[likely]
+        if len(known):
+            at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+            hit = known[at] == found
+            once = np.unique(owner[hit] * len(known) + at[hit])
+            margin[part.first : part.first + n] += np.bincount(once // len(known), weights=weights[once % len(known)], minlength=n)
+    return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+
+
 def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, held_out, score, predicted`` of whole texts, a row per row.
 
@@ -268,30 +288,23 @@ def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "te
     source and labels are no part of a score; other columns are ignored.
     """
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, weights = model.features, model.weights
-        maybe = np.zeros(1 << 16, dtype=bool)
-        maybe[(known & np.uint64(0xFFFF)).astype(np.int64)] = True
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in hashing.slices(batch.column(2)):
-                n = len(part.bounds) - 1
-                texts, found = _features(part)
-                likely = np.flatnonzero(maybe[(found & np.uint64(0xFFFF)).astype(np.int64)])
-                texts, found = texts[likely], found[likely]
-                margin = np.full(n, model.bias)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-                    hit = known[at] == found
-                    once = np.unique(texts[hit] * len(known) + at[hit])
-                    margin += np.bincount(once // len(known), weights=weights[once % len(known)], minlength=n)
-                value = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
-                yield pa.record_batch(
-                    [
-                        batch.column(0).slice(part.first, n), batch.column(1).slice(part.first, n),
-                        pa.array(value), pa.array((value >= 0.5).astype(np.int32)),
-                    ],
-                    names=["doc_id", "held_out", "score", "predicted"],
-                )
+            value = probabilities(batch.column(2), model)
+            yield pa.record_batch(
+                [batch.column(0), batch.column(1), pa.array(value), pa.array((value >= 0.5).astype(np.int32))],
+                names=["doc_id", "held_out", "score", "predicted"],
+            )
 
     narrow = docs.select(F.col(key).cast("bigint").alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("text"))
-    return narrow.mapInArrow(scan, "doc_id bigint, held_out boolean, score double, predicted int")
+    return narrow.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
+
+
+def keep_clean(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``score`` does not predict toxic, with all their columns."""
+
+    @arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        return pa.array(probabilities(texts, model) < 0.5)
+
+    return docs.filter(clean(F.col(text)))
