@@ -14,9 +14,11 @@ in a branch for certain. The order puts frequent shingles last.
 1. Equal sets become one; links are only sought between different sets.
 2. Every set is compared with the smallest set of each branch. That leaves one
    component in the branch of a group of near copies, however large.
-3. In branches with several components, the sets outside the largest one meet a
-   few of its members; those still outside then descend: first to pages, then to
-   points of other components, bounded by the minima.
+3. Sets of large branches with several components are led to new branches by the
+   shingles that are rarest among them. There the sets outside the largest
+   component meet those of its members that have least of their own; those still
+   outside descend: first to pages, then to points of other components, bounded
+   by the minima and by what is their own.
 4. Pairs that survive are verified on their whole shingle sets, block against block.
 
 No branch is gathered in one task: pivots are minima, and all else are joins
@@ -47,9 +49,11 @@ FREQUENT_FROM = 12
 COUNTER_BITS = 23
 # Places of the order that a set keeps to tell which of its first shingles another set would have met.
 MARKS = 8
-PAGE = 64
+PAGE = 32
 # Members of the largest component of a branch that the others meet before all of them.
 MATES = 8
+# Sets of large branches that a rare shingle has at most.
+RARE = 8
 # Sets of a family that are compared with each other in one task.
 BLOCK = 256
 # Rows of ids that a join may copy to every executor.
@@ -186,6 +190,29 @@ def _bounded(a: str, b: str, n_a: str, n_b: str, percent: int) -> Column:
     return F.expr(f"(100 + {percent}) * {_shared_at_most(a, b)} >= {percent} * ({n_a} + {n_b})")
 
 
+def _shingles(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """``rep, shingles`` of the sets asked of each document: ``doc_id, asked (set_id, rep)``."""
+    schema = pa.schema([("rep", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in hashing.slices(batch.column(0)):
+                wanted = batch.column(1).slice(part.first, len(part.bounds) - 1).to_pylist()
+                reps, lists = [], []
+                for found, sets in zip(shingle_sets(part, k), wanted, strict=True):
+                    here = set_id(found)
+                    for one in sets:
+                        if one["set_id"] == here:
+                            reps.append(one["rep"])
+                            lists.append(found)
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+                values = np.concatenate(lists).view(np.int64) if lists else np.zeros(0, np.int64)
+                yield pa.record_batch([pa.array(reps, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], schema=schema)
+
+    texts = docs.join(small_side(asked, "jaccard-asked-shingles", COPIED_ROWS), "doc_id").select("text", "asked")
+    return texts.mapInArrow(expand, "rep bigint, shingles array<bigint>")
+
+
 def _verified(pairs: DataFrame, stands: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Links among the stored ``pairs`` (``a``, ``b``) after comparing the whole sets.
 
@@ -337,8 +364,9 @@ class _Index:
         leaves = stands.select("rep", "n", F.explode("branches").alias("branch"))
         shared = leaves.groupBy("branch").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).filter("members > 1")
         shared = shared.join(self.column("pivot", n="pivot_n"), "pivot")
-        self.members = materialise(leaves.join(small_side(shared, "jaccard-pivots", COPIED_ROWS), "branch"), "jaccard-members")
+        self.members = materialise(leaves.join(shared, "branch"), "jaccard-members")
         own = self.members.groupBy("rep").agg(F.collect_list("branch").alias("shared"))
+        self.rarest: DataFrame | None = None
         self.edges = materialise(
             stands.join(own, "rep").select("rep", "n", F.size("branches").alias("first"), "marks", F.col("shared").alias("branches")),
             "jaccard-edges",
@@ -369,13 +397,24 @@ class _Index:
     def mixed(self, links: DataFrame) -> DataFrame:
         """Members of branches that hold several components, with the largest one.
 
-        In a branch of two the pivot was all there was to compare with.
+        In a first branch of two the pivot was all there was to compare with.
         """
         found = components(links)
+        small = self.members.filter(F.col("members").between(3, PAGE)).withColumn("own", F.lit(0).cast("bigint"))
+        if self.rarest is None:
+            large = self.members.filter(F.col("members") > PAGE).withColumn("own", F.lit(0).cast("bigint"))
+        else:
+            # Sets that have new branches meet each other in those.
+            small = small.join(self.led, "rep", "left")
+            large = self.rarest
+        again = F.col("led") if self.rarest is not None else F.lit(None).cast("boolean")
+        columns = ["branch", "rep", "n", "own", "members"]
+        small = small.select(*columns, F.coalesce(again, F.lit(False)).alias("led"))
+        large = large.select(*columns, F.lit(False).alias("led"))
         placed = materialise(
-            self.members.filter("members > 2")
+            small.unionByName(large)
             .join(found, F.col("rep") == F.col("node"), "left")
-            .select("branch", "rep", F.col("n").alias("n_rep"), "members", F.coalesce("component", "rep").alias("component")),
+            .select("branch", "rep", F.col("n").alias("n_rep"), "own", "members", "led", F.coalesce("component", "rep").alias("component")),
             "jaccard-placed",
         )
         largest = (
@@ -389,6 +428,41 @@ class _Index:
         return materialise(placed.join(largest, "branch"), "jaccard-mixed")
 
 
+    def replace_large(self, mixed: DataFrame) -> None:
+        """Lead the sets of large branches to new ones, by their rarest shingles.
+
+        Whoever is similar to a set by a large branch is in one, too. Among these
+        sets all shingles are counted, so that the first ones in the order are the
+        rarest: a near copy with many changes leaves the branches of its group.
+        Similar sets that share a rare shingle meet in the branch of one. In other
+        branches ``own`` therefore counts the rare shingles of a set: of sets that
+        only meet there, they are part of no overlap.
+        """
+        sets = materialise(mixed.filter(F.col("members") > PAGE).select("rep").distinct(), "jaccard-led")
+        self.led = sets.withColumn("led", F.lit(True))
+        asked = (
+            sets.join(self.stands.select("rep", "doc_id", "set_id"), "rep")
+            .groupBy("doc_id").agg(F.collect_list(F.struct("set_id", "rep")).alias("asked"))
+        )
+        found = materialise(_shingles(self.docs, asked, self.k), "jaccard-large").select("rep", F.explode("shingles").alias("shingle"))
+        often = found.groupBy("shingle").agg(F.count("*").alias("sets"))
+        ordered = (
+            found.join(often, "shingle").groupBy("rep")
+            .agg(F.array_sort(F.collect_set(F.struct("sets", "shingle"))).alias("shingles"), F.count_if(F.col("sets") == 1).alias("only"), F.count_if(F.col("sets") <= RARE).alias("rare"))
+            .join(self.column("rep", n="n"), "rep")
+            .filter(f"100 * (n - only) >= {self.percent} * n")
+        )
+        first = F.expr(f"slice(shingles, 1, cast(n - ceil({self.percent} * n / 100) + 1 as int))")
+        leaves = materialise(
+            ordered.select("rep", "n", "rare", F.explode(first).alias("leaf"))
+            .select("rep", "n", F.expr(f"if(leaf.sets > {RARE}, rare, 0)").alias("own"), F.expr("leaf.shingle | (-9223372036854775807 - 1)").alias("branch"), F.col("leaf.sets").alias("sets"))
+            .filter("sets > 1"),
+            "jaccard-rarest-leaves",
+        )
+        members = leaves.groupBy("branch").agg(F.count("*").alias("members")).filter("members > 1")
+        self.rarest = materialise(leaves.join(members, "branch"), "jaccard-rarest")
+
+
 def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
     return pairs.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct()
 
@@ -399,13 +473,15 @@ def _links(stands: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
     decided = materialise(_ordered(to_pivots, "rep", "pivot"), "jaccard-to-pivots")
     links = index.links(decided, "pivots")
 
-    # Sets outside the largest component of a branch meet a few of its members: in a group of near
-    # copies, where a set is similar to some of the others, most of them come in.
+    # Sets outside the largest component of a large branch then meet those of its members that have
+    # least of their own: in a group of near copies, what is similar to any mostly is to these.
+    index.replace_large(index.mixed(links))
     mixed = index.mixed(links)
     mates = (
-        mixed.filter("component = largest")
+        mixed.filter((F.col("members") > PAGE) & F.expr("component = largest"))
         .groupBy("branch", F.expr(f"pmod(xxhash64(rep, 7), {MATES})").alias("share"))
-        .agg(F.min("rep").alias("mate"), F.min_by("n_rep", "rep").alias("n_mate"))
+        .agg(F.min_by(F.struct("rep", "n_rep"), F.struct("own", "rep")).alias("m"))
+        .select("branch", F.col("m.rep").alias("mate"), F.col("m.n_rep").alias("n_mate"))
     )
     to_mates = _outside(mixed).join(mates, "branch").filter(_fits("n_o", "n_mate", percent))
     to_mates = materialise(_ordered(to_mates, "o", "mate").join(decided, ["a", "b"], "left_anti"), "jaccard-to-mates")
@@ -421,11 +497,11 @@ def _links(stands: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
 
 
 def _outside(mixed: DataFrame) -> DataFrame:
-    return mixed.filter("component != largest").select("branch", F.col("rep").alias("o"), F.col("component").alias("own"), F.col("n_rep").alias("n_o"))
+    return mixed.filter("component != largest").select("branch", F.col("rep").alias("o"), F.col("component").alias("outer"), F.col("n_rep").alias("n_o"), F.col("own").alias("own_o"), F.col("led").alias("led_o"))
 
 
 # Of two sets outside the largest component one descends, and it meets only other components.
-_DESCENDS = "own != component and (component = largest or rep > o)"
+_DESCENDS = "outer != component and not (led and led_o) and (component = largest or rep > o)"
 
 
 def _met_in_leaves(mixed: DataFrame, percent: int) -> DataFrame:
@@ -438,13 +514,16 @@ def _met_in_pages(mixed: DataFrame, index: _Index, percent: int) -> DataFrame:
     tile = f"struct(cast(floor(ln(n_rep) / ln(1.1)) as int) as size, cast(pmod(xxhash64(rep), ceil(members / {PAGE})) as int) as share)"
     tiled = mixed.join(index.column("rep", counts="c_rep"), "rep").withColumn("tile", F.expr(tile))
     pages = tiled.groupBy("branch", "tile").agg(
-        F.min("n_rep").alias("n_least"), F.max("n_rep").alias("n_most"),
+        F.min("n_rep").alias("n_least"), F.max("n_rep").alias("n_most"), F.min("own").alias("own_least"),
         F.array(*[F.max(F.col("c_rep")[i]) for i in range(GROUPS)]).alias("c_page"),
     )
     near = F.expr(f"100 * n_o >= {percent} * n_least and 100 * n_most >= {percent} * n_o")
     visits = (
         _outside(mixed).join(index.column("o", counts="c_o"), "o").join(pages, "branch").filter(near)
+        .filter(f"{100 + percent} * (own_o + own_least) <= {100 - percent} * (n_o + n_most)")
         .filter(_bounded("c_o", "c_page", "n_o", "n_least", percent))
-        .select("branch", "tile", "o", "own", "n_o")
+        .select("branch", "tile", "o", "outer", "n_o", "own_o", "led_o", "c_o")
     )
-    return visits.join(tiled.drop("c_rep"), ["branch", "tile"]).filter(_DESCENDS).filter(_fits("n_o", "n_rep", percent)).select("o", "rep")
+    met = visits.join(tiled, ["branch", "tile"]).filter(_DESCENDS).filter(_fits("n_o", "n_rep", percent))
+    met = met.filter(f"{100 + percent} * (own_o + own) <= {100 - percent} * (n_o + n_rep)")
+    return met.filter(_bounded("c_o", "c_rep", "n_o", "n_rep", percent)).select("o", "rep")
