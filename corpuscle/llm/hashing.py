@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text that are worked on at a time, unless one text is longer.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 # Fixed odd multipliers; any others would do, but hashes are stored.
 _BASE = 0x9E3779B97F4A7C15

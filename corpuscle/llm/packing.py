@@ -25,7 +25,6 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from math import ceil, isqrt
 
 import numpy as np
@@ -40,8 +39,8 @@ GROUPS = 64
 SMALL_SHARE = 1 / 8
 # Rows of one length that are ranked together, at least.
 RANKED_TOGETHER = 512
-# Words whose ids a Python worker remembers, and the longest such word.
-REMEMBERED = 600_000
+# Words whose ids a task remembers, and the longest such word.
+REMEMBERED = 400_000
 REMEMBERED_CHARS = 40
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -113,12 +112,6 @@ class _Encoder:
         return b"".join(map(words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-@lru_cache(maxsize=1)
-def _encoder(vocabulary: str | None) -> _Encoder:
-    """One encoder for all tasks of a Python worker."""
-    return _Encoder(vocabulary)
-
-
 def pieces(
     docs: DataFrame, *, text: str = "text", key: str = "doc_id", vocabulary: str | None = None,
     capacity: int = CAPACITY, end_id: int = 0,
@@ -131,7 +124,7 @@ def pieces(
     tail = np.asarray([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(vocabulary)
+        encode = _Encoder(vocabulary)
         for batch in batches:
             rows: list[tuple] = []
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
