@@ -126,9 +126,9 @@ def token_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(_NON_BLANK_RUN))
 
 
-def fingerprint(text: Column) -> Column:
-    """MD5 of the opening characters; the key that marks copies."""
-    return F.md5(F.substring(text, 1, FINGERPRINT_CHARS).cast("binary"))
+def fingerprint(text: Column, chars: int | None = None) -> Column:
+    """MD5 of the text, or of its first ``chars`` characters; the key that marks copies."""
+    return F.md5((text if chars is None else F.substring(text, 1, chars)).cast("binary"))
 
 
 def decode_article(content: Column) -> Column:

@@ -46,11 +46,22 @@ def sum_vector(vector: Column) -> Column:
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Rows of a list column as a float64 matrix."""
+    """Rows of a list column as a float64 matrix.
+
+    Null vectors, null components and vectors of different length have no place
+    in a matrix and raise; drop such rows before.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if len(column) == 0:
         return np.zeros((0, 0))
+    if column.null_count:
+        raise ValueError("a vector is null")
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    if (lengths != lengths[0]).any():
+        raise ValueError(f"vectors have different lengths: {lengths.min()} to {lengths.max()}")
+    if column.flatten().null_count:
+        raise ValueError("a component of a vector is null")
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.astype(np.float64).reshape(len(column), -1)
 

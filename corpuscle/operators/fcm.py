@@ -40,7 +40,7 @@ COLLAPSE_MARGIN = 1e-3
 
 def sample_rows(rows: DataFrame, n: int = SAMPLE_SIZE, key: str = "doc_id", seed: int = SEED) -> DataFrame:
     """A random sample of exactly min(n, rows), the same one for any partitioning."""
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), key).limit(n)
 
 
 def start_key(key: str = "doc_id", seed: int = SEED) -> Column:

@@ -73,11 +73,11 @@ class Sweep:
 
 def fit_points(
     vectors: DataFrame,
-    sample_size: int | None = fcm.SAMPLE_SIZE,
+    sample_size: int | None = None,
     key: str = "doc_id",
     seed: int = fcm.SEED,
 ) -> DataFrame:
-    """Unit vectors and start keys of the sample (of all rows for None), written once."""
+    """Unit vectors and start keys of all rows, or of a sample, written once."""
     rows = vectors.select(key, "embedding")
     if sample_size is not None:
         # A sample is one partition after the limit; the passes use more.

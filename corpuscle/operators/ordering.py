@@ -5,43 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Order values per range; a task sorts at most this many rows of unique order.
-RANGE_WIDTH = 1 << 17
+from corpuscle.sources.shared import materialise
 
 
-def with_running_totals(
-    rows: DataFrame, order: str, amounts: dict[str, Column], width: int = RANGE_WIDTH
-) -> DataFrame:
+def with_running_totals(rows: DataFrame, order: str | list[str], amounts: dict[str, Column]) -> DataFrame:
     """Add, per name, the sum of its amount over this row and all rows before it.
 
-    ``order`` is a unique BIGINT column. Totals are taken inside ranges of
-    ``width`` order values; what comes before a range is added from a table
-    with one row per range. So no task sorts more than ``width`` rows.
+    ``order`` names columns that are unique together. Rows are dealt into ranges
+    that Spark samples from the data, so gaps in the order don't matter, and
+    written once with their range. Totals are taken inside ranges; what comes
+    before a range is added from a table with one row per range.
     """
-    in_range = F.floor(F.col(order) / width).cast("bigint").alias("_range")
-    per_range = rows.groupBy(in_range).agg(
-        *[F.sum(amount).alias(name) for name, amount in amounts.items()]
-    )
+    keys = [order] if isinstance(order, str) else list(order)
+    ranged = rows.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
+    ranged = materialise(ranged, "ranges")
+    per_range = ranged.groupBy("_range").agg(*[F.sum(amount).alias(name) for name, amount in amounts.items()])
     earlier = Window.orderBy("_range")
     before = per_range.select(
-        "_range",
-        *[
-            (F.sum(name).over(earlier) - F.col(name)).alias(f"_before_{name}")
-            for name in amounts
-        ],
+        "_range", *[(F.sum(name).over(earlier) - F.col(name)).alias(f"_before_{name}") for name in amounts]
     )
-    inside = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    totals = [
-        (F.sum(amount).over(inside)).alias(f"_inside_{name}") for name, amount in amounts.items()
-    ]
-    ranged = rows.select("*", in_range).select("*", *totals).join(before, "_range")
-    return ranged.select(
-        *rows.columns,
-        *[(F.col(f"_before_{n}") + F.col(f"_inside_{n}")).alias(n) for n in amounts],
+    inside = Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+    totals = [F.sum(amount).over(inside).alias(f"_inside_{name}") for name, amount in amounts.items()]
+    # One row per partition of a shuffle.
+    joined = ranged.select("*", *totals).join(F.broadcast(before), "_range")
+    return joined.select(
+        *rows.columns, *[(F.col(f"_before_{n}") + F.col(f"_inside_{n}")).alias(n) for n in amounts]
     )
 
 
-def with_dense_index(rows: DataFrame, order: str, name: str, width: int = RANGE_WIDTH) -> DataFrame:
-    """Number rows 0, 1, 2, ... along a unique BIGINT column."""
-    counted = with_running_totals(rows, order, {name: F.lit(1).cast("bigint")}, width)
+def with_dense_index(rows: DataFrame, order: str | list[str], name: str) -> DataFrame:
+    """Number rows 0, 1, 2, ... along columns that are unique together."""
+    counted = with_running_totals(rows, order, {name: F.lit(1).cast("bigint")})
     return counted.withColumn(name, F.col(name) - 1)

@@ -7,6 +7,7 @@ from corpuscle.plans.queries import (
     LOOSE_THRESHOLD,
     NPROBE,
     REPLAY_THRESHOLD,
+    SAMPLED,
     SWEEP_THRESHOLDS,
     TOP_N,
 )
@@ -79,7 +80,7 @@ _CLEAN = (
 _TOKENS = f"len(regexp_extract_all(text, '[^{_BLANK}]+'))"
 _USABLE = f"""{_CLEAN},
 usable AS (SELECT doc_seq, doc_id, category, text FROM clean WHERE {_TOKENS} >= 50
-    QUALIFY row_number() OVER (PARTITION BY md5(substr(text, 1, 200)) ORDER BY doc_seq) = 1)"""
+    QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY doc_seq) = 1)"""
 
 # Every byte of the UTF-8 text as one character.
 _BYTES = (
@@ -129,7 +130,7 @@ _SCORE = "round(list_dot_product(a.v, b.v), 12)"
 _KNN = f"""
 pairs AS (SELECT a.vec_id AS seq, b.vec_id AS doc_id, {_SCORE} AS score FROM vecs a, vecs b),
 best AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY score DESC, doc_id) AS id FROM pairs)"""
-_HIT = "id || ':' || category || ':' || format('{:.4f}', round(score, 4)) || ':' || length(text)"
+_HIT = "concat_ws(':', id, category, format('{:.4f}', round(score, 4)), length(text))"
 _STRIPPED_DOCS = f"docs AS (SELECT doc_id, source AS category, {_strip('text')} AS text FROM documents)"
 
 _LABELINGS = """
@@ -209,7 +210,7 @@ _FLUSH = "vec_id % 170 = 169"
 _RESPONSES = f"""{_replayed('false')}, {_KNN}, {_STRIPPED_DOCS},
 lists AS (SELECT seq, string_agg({_HIT}, '|' ORDER BY id) AS hits FROM
     (SELECT b.seq, row_number() OVER (PARTITION BY b.seq ORDER BY b.score DESC, b.doc_id) AS id, category, score, text
-     FROM pairs b JOIN docs USING (doc_id))
+     FROM pairs b LEFT JOIN docs USING (doc_id))
     WHERE id <= seq % 3 + 1 GROUP BY seq)
 SELECT p.seq, 'query ' || p.seq AS query, hit AS cache_hit,
     CASE WHEN hit THEN 'query ' || source END AS matched_query,
@@ -240,12 +241,13 @@ SELECT doc_seq, {_join(_without_quotes('ls'))} AS body FROM split""",
         "token_filter": f"SELECT doc_id FROM documents WHERE {_TOKENS} >= 50",
         "fingerprints": "SELECT doc_id, md5(substr(text, 1, 200)) AS fingerprint FROM documents",
         "dedup_first": """SELECT doc_id, text FROM documents
-QUALIFY row_number() OVER (PARTITION BY md5(substr(text, 1, 200)) ORDER BY doc_id) = 1""",
+QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) = 1""",
         "usable_corpus": f"WITH {_USABLE} SELECT doc_seq, doc_id, category, text FROM usable",
         "load_report": f"""WITH {_USABLE}, counted AS (SELECT
     (SELECT count(*) FROM raw) AS files, (SELECT count(*) FROM usable) AS kept,
-    (SELECT count(*) FROM clean WHERE {_TOKENS} < 50) AS too_short)
-SELECT files, kept, too_short, files - kept - too_short AS duplicates FROM counted""",
+    (SELECT count(*) FROM clean WHERE {_TOKENS} < 50) AS too_short,
+    (SELECT count(DISTINCT md5(substr(text, 1, 200))) FROM usable) AS openings)
+SELECT files, kept, too_short, files - kept - too_short AS duplicates, kept - openings AS opening_alike FROM counted""",
         "first_documents": f"WITH {_USABLE} SELECT doc_seq, doc_id FROM usable ORDER BY doc_seq LIMIT 500",
         "corpus_positions": f"""WITH {_USABLE}
 SELECT doc_seq, doc_id, row_number() OVER (ORDER BY doc_seq) - 1 AS doc_index FROM usable""",
@@ -253,8 +255,8 @@ SELECT doc_seq, doc_id, row_number() OVER (ORDER BY doc_seq) - 1 AS doc_index FR
 SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, source || '/' || doc_id AS doc_id,
     source AS category, {_BYTES} AS text FROM documents""",
         "vector_collection": """
-SELECT doc_id, source AS category, row_number() OVER (ORDER BY doc_id) - 1 AS doc_index, 1.0::DOUBLE AS norm
-FROM embeddings JOIN documents ON vec_id = doc_id""",
+SELECT vec_id AS doc_id, source AS category, row_number() OVER (ORDER BY vec_id) - 1 AS doc_index, 1.0::DOUBLE AS norm
+FROM embeddings LEFT JOIN documents ON vec_id = doc_id""",
         "collection_count": "SELECT count(*) AS n FROM embeddings",
         "l2_normalize": f"""WITH {_VECTORS}, scaled AS (SELECT vec_id, pos, x * (vec_id % 7) AS x FROM cells),
 norms AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM scaled GROUP BY vec_id)
@@ -277,7 +279,7 @@ SELECT seq, doc_id, id::INTEGER AS id, {_round('score', 4)} AS similarity FROM b
         "knn_result_list": f"""WITH {_VECTORS}, {_KNN}, {_STRIPPED_DOCS}
 SELECT seq, string_agg({_HIT}, '|' ORDER BY id) AS hits FROM
     (SELECT seq, row_number() OVER (PARTITION BY seq ORDER BY score DESC, doc_id) AS id, category, score, text
-     FROM pairs JOIN docs USING (doc_id)) WHERE id <= {TOP_N} GROUP BY seq""",
+     FROM pairs LEFT JOIN docs USING (doc_id)) WHERE id <= {TOP_N} GROUP BY seq""",
         "fuzzy_memberships": f"""WITH {_VECTORS}, {_FORWARD}
 SELECT vec_id::VARCHAR AS doc_id, cluster, {_round('u', 6)} AS membership FROM u""",
         "dominant_cluster": f"""WITH {_VECTORS}, {_FORWARD}
@@ -304,7 +306,7 @@ WHERE silhouette > -1 ORDER BY round(silhouette, 6) DESC, k LIMIT 1""",
         "fcm_pass": f"""WITH {_VECTORS}, {_FORWARD}
 SELECT cluster, (pos - 1)::INTEGER AS pos, {_round('sum(u * u * x) / sum(u * u)', 6)} AS value
 FROM u JOIN cells USING (vec_id) GROUP BY cluster, pos""",
-        "sample_rows": "SELECT vec_id FROM embeddings",
+        "sample_rows": f"SELECT vec_id FROM embeddings ORDER BY md5('42:' || vec_id), vec_id LIMIT {SAMPLED}",
         "cluster_artifact": f"""WITH {_VECTORS}
 SELECT cluster, (pos - 1)::INTEGER AS pos, {_round('value', 6)} AS value, (SELECT count(*) FROM vecs) AS n_docs
 FROM (SELECT cluster, unnest(c) AS value, generate_subscripts(c, 1) AS pos FROM centres)""",
@@ -334,6 +336,8 @@ SELECT (SELECT count(*) FROM vecs) AS total_entries, hit_count, miss_count,
         "cache_snapshot": f"""SELECT count(*) AS total_entries, 5::BIGINT AS hit_count, 8::BIGINT AS miss_count,
     round(5 / 13.0, 4)::DOUBLE AS hit_rate, {CACHE_THRESHOLD}::DOUBLE AS threshold FROM embeddings""",
         "cache_replay": f"""{_replayed('false')}
+SELECT seq, cluster AS dominant_cluster, hit AS cache_hit, source AS source_seq FROM played""",
+        "cache_replay_chunked": f"""{_replayed('false')}
 SELECT seq, cluster AS dominant_cluster, hit AS cache_hit, source AS source_seq FROM played""",
         "cache_replay_flushed": f"""{_replayed(_FLUSH)}
 SELECT seq, era, cluster AS dominant_cluster, hit AS cache_hit, source AS source_seq FROM played""",

@@ -61,10 +61,10 @@ class Build:
         cluster_counts: Sequence[int] = fcm.CLUSTER_COUNTS,
         bounds: tuple[int, int] = fcm.CLUSTER_BOUNDS,
         fuzziness: float = FUZZINESS,
-        sample_size: int | None = fcm.SAMPLE_SIZE,
+        sample_size: int | None = None,
         smoke: bool = False,
     ) -> None:
-        """Sample, sweep k, refit, predict all memberships; write artifact and summary."""
+        """Sweep k on all vectors or a sample, refit, predict all memberships; write artifact and summary."""
         vectors = read_vectors(self.spark, self.collection)
         if smoke:
             vectors = vectors.orderBy("doc_index").limit(SMOKE_DOCS)

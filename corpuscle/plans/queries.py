@@ -52,6 +52,7 @@ REPLAY_THRESHOLD = 0.25
 SWEEP_THRESHOLDS = (0.20, 0.25, 0.30, 0.35, 0.40)
 TOP_N = 5
 NPROBE = 3
+SAMPLED = 100
 
 
 def register(query: Query) -> Query:
@@ -169,10 +170,10 @@ def cache_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_with_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, category, embedding, text`` for vectors that have a document."""
+    """``doc_id, category, embedding, text`` of all vectors; null where there is no document."""
     docs = table(spark, sf_dir, "documents")
     vecs = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    return vecs.join(docs, "doc_id").select(
+    return vecs.join(docs, "doc_id", "left").select(
         "doc_id", F.col("source").alias("category"), "embedding", "text"
     )
 
@@ -251,7 +252,7 @@ def token_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", tx.fingerprint(F.col("text")).alias("fingerprint"))
+    return docs.select("doc_id", tx.fingerprint(F.col("text"), tx.FINGERPRINT_CHARS).alias("fingerprint"))
 
 
 @register
@@ -552,7 +553,8 @@ def k_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fcm.sample_rows(table(spark, sf_dir, "embeddings"), key="vec_id").select("vec_id")
+    """A sample of a hundred vectors: sampling is the operator."""
+    return fcm.sample_rows(table(spark, sf_dir, "embeddings"), SAMPLED, "vec_id").select("vec_id")
 
 
 @register
@@ -656,6 +658,15 @@ def cache_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def cache_replay_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log in chunks: entries of earlier chunks answer later ones."""
+    played = replay.replay_log(
+        query_log(spark, sf_dir), centres(spark, sf_dir), threshold=REPLAY_THRESHOLD, chunk_rows=64
+    )
+    return played.decisions.select("seq", "dominant_cluster", "cache_hit", "source_seq")
+
+
 @register
 def cache_replay_flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same log with flushes in it."""
@@ -713,15 +724,15 @@ def text_query_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     docs = materialise(embedded, "documents")
     turns = table(spark, sf_dir, "conversations").filter("role = 'user'").select(
-        (F.col("conv_id") * 1024 + F.col("turn")).alias("seq"), F.col("text").alias("query")
+        "conv_id", "turn", F.col("text").alias("query")
     )
+    turns = ordering.with_dense_index(turns, ["conv_id", "turn", "query"], "seq").drop("conv_id", "turn")
     log = encode.embed(turns, text="query").select(
         "seq", F.lit("query").alias("op"), "query", F.col("embedding").alias("vector"),
         F.lit(None).cast("double").alias("threshold"), F.lit(None).cast("int").alias("n_results"),
     )
     middle = docs.groupBy("category").agg(vc.mean_vector(F.col("embedding")).alias("centre"))
-    numbered = middle.select(F.col("centre"), F.hash("category").cast("bigint").alias("key"))
-    ranked = ordering.with_dense_index(materialise(numbered, "centres"), "key", "n")
+    ranked = ordering.with_dense_index(middle, "category", "n")
     points = mb.collect_centres(ranked.select(F.col("n").cast("int").alias("cluster"), "centre"))
     played = replay.replay_log(log, points, threshold=0.6)
     answers = replay.responses(played, replay.search_misses(played, docs))

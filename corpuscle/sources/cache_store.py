@@ -1,90 +1,77 @@
-"""Snapshots of the semantic cache.
-
-``entries/version=N`` holds the entries of one snapshot and is never changed.
-``counters`` gets one row per save and names the version it belongs to, so the
-newest counters row is what makes a snapshot visible: a save that dies before
-that row leaves the older snapshot in force.
-"""
+"""Snapshots of the semantic cache: a table of entries and a one-row table of counters."""
 
 from __future__ import annotations
 
 import logging
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from corpuscle.operators.cache import DEFAULT_THRESHOLD, ENTRY_SCHEMA, CacheState, empty_cache
+from corpuscle.sources.shared import materialise
 
-_COUNTERS = "save_id bigint, version bigint, threshold double, hit_count bigint, miss_count bigint"
+_COUNTERS = "threshold double, hit_count bigint, miss_count bigint"
+# What errors say of a folder that isn't there, and of files that are no tables.
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+_DAMAGED = ("is not a Parquet file", "CANNOT_READ_FILE_FOOTER", "corrupted")
+_ERRORS = (PySparkException, Py4JJavaError)
 
 log = logging.getLogger(__name__)
 
 
-def _newest(spark: SparkSession, path: str):
-    try:
-        saves = spark.read.schema(_COUNTERS).parquet(f"{path}/counters")
-        return saves.orderBy(F.desc("save_id")).first()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def _write_counters(spark: SparkSession, path: str, row: tuple) -> None:
+    spark.createDataFrame([row], _COUNTERS).coalesce(1).write.mode("overwrite").parquet(f"{path}/counters")
+
 
+def _counters(spark: SparkSession, path: str):
+    return spark.read.schema(_COUNTERS).parquet(f"{path}/counters").first()
 
-def _publish(spark: SparkSession, path: str, row: tuple) -> None:
-    spark.createDataFrame([row], _COUNTERS).coalesce(1).write.mode("append").parquet(
-        f"{path}/counters"
-    )
+
+def _says(error: Exception, signs: tuple[str, ...]) -> bool:
+    text = str(error)
+    return any(sign in text for sign in signs)
 
 
 def save_snapshot(spark: SparkSession, state: CacheState, path: str) -> None:
-    """Save entries, counters and threshold as a new version."""
-    newest = _newest(spark, path)
-    save_id = 1 if newest is None else newest["save_id"] + 1
-    state.entries.write.mode("overwrite").parquet(f"{path}/entries/version={save_id}")
-    _publish(
-        spark, path, (save_id, save_id, float(state.threshold), state.hit_count, state.miss_count)
-    )
+    """Save entries, counters and threshold in place of an older snapshot."""
+    # Written elsewhere first: the entries may come from the snapshot they replace.
+    entries = materialise(state.entries, "cache-entries")
+    entries.write.mode("overwrite").parquet(f"{path}/entries")
+    _write_counters(spark, path, (float(state.threshold), state.hit_count, state.miss_count))
 
 
 def save_counters(spark: SparkSession, state: CacheState, path: str) -> None:
     """Save the counters only; a full snapshot if there is none to add to."""
-    newest = _newest(spark, path)
-    if newest is None:
+    try:
+        saved = _counters(spark, path)
+    except _ERRORS as error:
+        if not _says(error, _ABSENT):
+            raise
+        saved = None
+    if saved is None:
         save_snapshot(spark, state, path)
-        return
-    _publish(
-        spark,
-        path,
-        (
-            newest["save_id"] + 1,
-            newest["version"],
-            newest["threshold"],
-            state.hit_count,
-            state.miss_count,
-        ),
-    )
-
-
-def load_snapshot(
-    spark: SparkSession, path: str, threshold: float = DEFAULT_THRESHOLD
-) -> CacheState:
-    """The newest snapshot; its threshold wins over the argument.
-
-    An absent or unreadable snapshot gives an empty cache.
+    else:
+        _write_counters(spark, path, (saved["threshold"], state.hit_count, state.miss_count))
+
+
+def load_snapshot(spark: SparkSession, path: str, threshold: float = DEFAULT_THRESHOLD) -> CacheState:
+    """The saved cache; its threshold wins over the argument.
+
+    An absent snapshot, or one whose files are damaged, gives an empty cache.
+    Other failures, such as a lost executor or a storage that doesn't answer, raise.
     """
     try:
-        newest = _newest(spark, path)
-        if newest is None:
-            return empty_cache(spark, threshold)
-        entries = spark.read.schema(ENTRY_SCHEMA).parquet(
-            f"{path}/entries/version={newest['version']}"
-        )
+        saved = _counters(spark, path)
+        entries = spark.read.schema(ENTRY_SCHEMA).parquet(f"{path}/entries")
         entries.agg(F.count("query")).first()  # fails here if the files are damaged
-    except Exception as error:  # any damage means: start empty
-        log.warning("cache snapshot at %s cannot be read, starting empty: %s", path, error)
+    except _ERRORS as error:
+        if _says(error, _DAMAGED):
+            log.warning("cache snapshot at %s is damaged, starting empty", path)
+        elif not _says(error, _ABSENT):
+            raise
         return empty_cache(spark, threshold)
-    return CacheState(
-        entries, newest["hit_count"], newest["miss_count"], newest["threshold"]
-    )
-
+    if saved is None:
+        return empty_cache(spark, threshold)
+    return CacheState(entries, saved["hit_count"], saved["miss_count"], saved["threshold"])

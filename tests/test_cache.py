@@ -198,6 +198,34 @@ def test_rounds_grow_while_the_cache_answers(spark, centres, own, limits, monkey
     assert widths and max(widths) > 24
 
 
+@pytest.mark.parametrize("chunk_rows", [1, 2, 37, 1000])
+def test_entries_do_not_depend_on_chunks(spark, centres, chunk_rows):
+    # Two texts with equal vectors: a text that is no best match still keeps its place.
+    v, w = unit(5), unit(6)
+    texts = ["a", "b", "b", "b", "c", "a", "d", "b", "c"]
+    rows = [
+        (i, "query", t, w if t in "cd" else v, None if i == 7 else 1.5, 5) for i, t in enumerate(texts)
+    ]
+    played = replay.replay_log(log_rows(spark, rows), centres, threshold=0.9, chunk_rows=chunk_rows)
+    none = played.decisions.select("seq", F.lit(None).cast(cache.HIT_TYPE).alias("result")).limit(0)
+    state = replay.state_after(played, none, centres)
+    assert sorted((r["seq"], r["query"]) for r in state.entries.collect()) == [(0, "a"), (1, "b"), (4, "c"), (6, "d")]
+    got = {r["seq"]: (r["cache_hit"], r["entry_seq"], r["source_seq"]) for r in played.decisions.collect()}
+    assert got == {
+        0: (False, 0, 0), 1: (False, 1, 1), 2: (False, 1, 2), 3: (False, 1, 3), 4: (False, 4, 4), 5: (False, 0, 5),
+        6: (False, 6, 6), 7: (True, 0, 5), 8: (False, 4, 8),
+    }
+
+
+def test_no_documents_give_empty_results(spark, centres):
+    docs = vector_rows(spark, unit_rows(3, 1), "doc_id").select(
+        "*", F.lit("c").alias("category"), F.col("doc_id").cast("string").alias("text")
+    )
+    played = replay.replay_log(log_rows(spark, [(1, "query", "a", unit(1), None, 2)]), centres)
+    answers = replay.responses(played, replay.search_misses(played, docs.limit(0)))
+    assert [r["result"] for r in answers.collect()] == [[]]
+
+
 def test_blocks_and_travel_give_the_same_replay(spark, centres):
     rows = _log()
     played = replay.replay_log(

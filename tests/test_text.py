@@ -47,6 +47,7 @@ def _cleaned(spark, texts):
         tx.strip_quotes_and_signature(s).alias("quotes"),
         tx.clean_article(s).alias("clean"),
         tx.token_count(s).alias("tokens"),
+        tx.fingerprint(s, 200).alias("opening"),
         tx.fingerprint(s).alias("fingerprint"),
     ).orderBy("i").collect()
 
@@ -57,7 +58,8 @@ def _check(rows, texts):
         assert row["quotes"] == "\n".join(expected_unquoted(text.splitlines()))
         assert row["clean"] == expected_clean(text)
         assert row["tokens"] == len(text.split())
-        assert row["fingerprint"] == hashlib.md5(text[:200].encode()).hexdigest()
+        assert row["opening"] == hashlib.md5(text[:200].encode()).hexdigest()
+        assert row["fingerprint"] == hashlib.md5(text.encode()).hexdigest()
 
 
 def test_edge_cases(spark):
@@ -104,9 +106,11 @@ def _corpus(spark):
 
 
 def test_filter_then_first_of_each_fingerprint(spark):
-    # The first 200 characters decide; 2 comes before 4 in load order.
+    # Whole texts decide, or the first 200 characters; 2 comes before 4 in load order.
     kept = corpus.usable_corpus(_corpus(spark)).orderBy("doc_seq")
-    assert [r["doc_seq"] for r in kept.collect()] == [2, 5]
+    assert [r["doc_seq"] for r in kept.collect()] == [2, 4, 5]
+    openings = corpus.usable_corpus(_corpus(spark), chars=200).orderBy("doc_seq")
+    assert [r["doc_seq"] for r in openings.collect()] == [2, 5]
     again = corpus.drop_copies(kept)
     assert again.count() == kept.count()
 
@@ -120,7 +124,7 @@ def test_one_pass_filter_equals_filter_of_cleaned(spark):
 
 def test_load_report(spark):
     row = corpus.load_report(_corpus(spark)).first()
-    assert row.asDict() == {"files": 6, "kept": 2, "too_short": 2, "duplicates": 2}
+    assert row.asDict() == {"files": 6, "kept": 3, "too_short": 2, "duplicates": 1, "opening_alike": 1}
     empty = corpus.load_report(_corpus(spark).limit(0)).first()
     assert row is not None and set(empty.asDict().values()) == {0}
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,7 +105,16 @@ def test_normalize_keeps_the_zero_vector(spark):
 
 
 def test_dense_index_over_many_ranges(spark):
-    seqs = sorted(np.random.default_rng(3).choice(10**6, 500, replace=False).tolist())
-    df = spark.createDataFrame([(s,) for s in seqs], "seq bigint").repartition(7)
-    got = ordering.with_dense_index(df, "seq", "i", width=1000).orderBy("seq").collect()
-    assert [r["i"] for r in got] == list(range(500))
+    seqs = sorted((np.random.default_rng(3).choice(10**6, 500, replace=False) * 1_000_003).tolist())
+    df = spark.createDataFrame([(s, s % 7) for s in seqs], "seq bigint, m bigint").repartition(7)
+    indexed = ordering.with_dense_index(df, "seq", "i")
+    assert [r["i"] for r in indexed.orderBy("seq").collect()] == list(range(500))
+    by_two = ordering.with_dense_index(df, ["m", "seq"], "i").orderBy("m", "seq").collect()
+    assert [r["i"] for r in by_two] == list(range(500))
+    assert ordering.with_dense_index(df.limit(0), "seq", "i").count() == 0
+
+
+@pytest.mark.parametrize("rows", [[[1.0, 2.0], [3.0, 4.0, 5.0, 6.0]], [None, [3.0, 4.0]], [[1.0, None], [1.0, 2.0]]])
+def test_matrix_refuses_rows_that_are_none(rows):
+    with pytest.raises(ValueError):
+        vc.matrix(pa.array(rows, pa.list_(pa.float64())))
