@@ -44,8 +44,8 @@ WORDS = 5
 PERCENT = 80
 GROUPS = 64
 # The frequent shingles that come last in the order; any set of them gives the same links.
-FREQUENT = 100_000
-FREQUENT_FROM = 12
+FREQUENT = 400_000
+FREQUENT_FROM = 8
 COUNTER_BITS = 23
 # Places of the order that a set keeps to tell which of its first shingles another set would have met.
 MARKS = 8
@@ -91,7 +91,7 @@ def frequent_shingles(docs: DataFrame, k: int = WORDS, at_most: int = FREQUENT,
     """Shingles that many texts have, the rarest of them first; at most ``at_most``.
 
     A task counts its shingles in a table of counters and keeps those whose
-    counter reaches four; only small hashes, as others come late in the order
+    counter reaches two; only small hashes, as others come late in the order
     anyway. It is an order, not a filter: a miscount costs time, no link.
     """
     limit = np.uint64((1 << 64) * 2 // 5)
@@ -107,7 +107,7 @@ def frequent_shingles(docs: DataFrame, k: int = WORDS, at_most: int = FREQUENT,
                 place = (found & np.uint64(len(counters) - 1)).astype(np.int64)
                 total = np.minimum(counters[place].astype(np.int64) + n, 60_000)
                 counters[place] = total
-                often = total > 3
+                often = total > 1
                 seen.update(zip(found[often].tolist(), total[often].tolist(), strict=True))
             if len(seen) > 8 * at_most:
                 seen = dict(sorted(seen.items(), key=lambda x: -x[1])[: 4 * at_most])
@@ -115,8 +115,9 @@ def frequent_shingles(docs: DataFrame, k: int = WORDS, at_most: int = FREQUENT,
         yield pa.record_batch([pa.array(keys), pa.array(list(seen.values()), pa.int64())], names=["shingle", "n"])
 
     counted = docs.select("text").mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = counted.filter(F.col("n") >= at_least).orderBy(F.desc("n"), "shingle").limit(at_most).collect()
-    return np.array([r["shingle"] for r in reversed(rows)], dtype=np.int64).view(np.uint64)
+    # At most ``at_most`` numbers.
+    found = counted.filter(F.col("n") >= at_least).orderBy(F.desc("n"), "shingle").limit(at_most).select("shingle").toArrow()
+    return found.column(0).to_numpy()[::-1].astype(np.int64).view(np.uint64)
 
 
 _POINTS = "row_id bigint, doc_id bigint, n bigint, set_id binary, branches array<bigint>, marks array<bigint>, counts array<int>"
