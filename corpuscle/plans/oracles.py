@@ -207,7 +207,10 @@ def _replayed(flush: str, threshold: float = REPLAY_THRESHOLD) -> str:
 
 
 _FLUSH = "vec_id % 170 = 169"
-_RESPONSES = f"""{_replayed('false')}, {_KNN}, {_STRIPPED_DOCS},
+
+
+def _responses(flush: str) -> str:
+    return f"""{_replayed(flush)}, {_KNN}, {_STRIPPED_DOCS},
 lists AS (SELECT seq, string_agg({_HIT}, '|' ORDER BY id) AS hits FROM
     (SELECT b.seq, row_number() OVER (PARTITION BY b.seq ORDER BY b.score DESC, b.doc_id) AS id, category, score, text
      FROM pairs b LEFT JOIN docs USING (doc_id))
@@ -218,6 +221,7 @@ SELECT p.seq, 'query ' || p.seq AS query, hit AS cache_hit,
     cluster AS dominant_cluster, hits
 FROM played p LEFT JOIN lists ON lists.seq = p.source"""
 
+
 _STEPS = ", ".join(f"({t}::DOUBLE)" for t in SWEEP_THRESHOLDS)
 _ROOT_PATH = (
     "CASE WHEN doc_id % 7 = 3 THEN 'root/' || doc_id ELSE 'root/' || source || '/' || doc_id "
@@ -345,8 +349,8 @@ SELECT seq, era, cluster AS dominant_cluster, hit AS cache_hit, source AS source
     count(*) FILTER (WHERE NOT hit) AS miss_count FROM played WHERE era = (SELECT max(era) FROM log))
 SELECT miss_count AS total_entries, hit_count, miss_count,
     round(hit_count / (hit_count + miss_count), 4) AS hit_rate, {REPLAY_THRESHOLD}::DOUBLE AS threshold FROM counted""",
-        "replay_responses": _RESPONSES,
-        "stream_replay": _RESPONSES,
+        "replay_responses": _responses("false"),
+        "stream_replay": _responses(_FLUSH),
         "cache_inserts": f"""WITH RECURSIVE {_VECTORS}, {_FORWARD}, {_REVERSED},
 {_played('false', CACHE_THRESHOLD, old=True)}
 SELECT item AS seq, 'old ' || (item + 1000000) AS query, cluster AS dominant_cluster FROM items WHERE item < 0

@@ -744,17 +744,15 @@ def text_query_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log as a stream: the table's file is read as a streaming source."""
-    schema = table(spark, sf_dir, "embeddings").schema
-    source = spark.readStream.schema(schema).parquet(f"{sf_dir}/embeddings.parquet*")
-    log = source.select(
-        F.col("vec_id").alias("seq"),
-        F.lit("query").alias("op"),
-        F.concat(F.lit("query "), F.col("vec_id")).alias("query"),
-        F.col("embedding").alias("vector"),
-        F.lit(None).cast("double").alias("threshold"),
-        (F.col("vec_id") % 3 + 1).cast("int").alias("n_results"),
-    )
+    """The flushed log as a stream of four files, one per micro-batch, in order of ``seq``."""
+    rows = query_log(spark, sf_dir, flushes=True)
+    path = fresh_path(spark, "stream-log")
+    low, high = rows.agg(F.min("seq"), F.max("seq")).first()
+    edges = [low + (high - low) * i // 4 for i in range(4)] + [high + 1]
+    for start, end in itertools.pairwise(edges):
+        part = rows.filter((F.col("seq") >= start) & (F.col("seq") < end))
+        part.coalesce(1).write.mode("append").parquet(path)
+    log = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
     docs = documents_with_vectors(spark, sf_dir)
     stream = QueryStream(
         spark, fresh_path(spark, "stream"), centres(spark, sf_dir), docs, REPLAY_THRESHOLD

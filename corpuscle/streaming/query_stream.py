@@ -24,7 +24,8 @@ from corpuscle.operators.replay import (
     responses,
     search_misses,
 )
-from corpuscle.sources.shared import materialise, small_side
+from corpuscle.operators.requests import split_requests
+from corpuscle.sources.shared import materialise
 
 LOG_SCHEMA = (
     "seq bigint, op string, query string, vector array<float>, threshold double, n_results int"
@@ -33,9 +34,8 @@ RESPONSE_SCHEMA = (
     "seq bigint, query string, cache_hit boolean, matched_query string, "
     f"similarity_score double, result {HIT_TYPE}, dominant_cluster int"
 )
-# Rewritten entries carry their result, so fewer of them are copied to all executors.
-REWRITTEN_ROWS = 5_000
-_ERAS = "batch bigint, flushes bigint"
+_ERAS = "batch bigint, flushes bigint, last_seq bigint"
+_REJECTED = "seq bigint, query string, threshold double, n_results int, reason string, batch bigint"
 _ENTRIES = ENTRY_SCHEMA + ", era bigint, written bigint, batch bigint"
 
 
@@ -58,8 +58,20 @@ class QueryStream:
         )
 
     def answer_batch(self, log: DataFrame, batch: int) -> None:
+        """Replay one batch; requests that aren't valid are set aside.
+
+        Batches come in order of ``seq``: one that begins before an earlier batch ended raises.
+        """
         log = materialise(log, "stream-batch")  # the batch is read several times
-        era = self._era_before(batch)
+        era, last_seq = self._before(batch)
+        ends = log.agg(F.min("seq").alias("first"), F.max("seq").alias("last")).first()
+        if last_seq is not None and ends["first"] is not None and ends["first"] <= last_seq:
+            raise ValueError(f"batch {batch} begins at seq {ends['first']}, after seq {last_seq} was answered")
+        valid, rejected = split_requests(log.filter(F.col("op") == "query"))
+        rejected.select("seq", "query", "threshold", "n_results", "reason").write.mode("overwrite").parquet(
+            f"{self.root}/rejected/batch={batch}"
+        )
+        log = log.filter(F.col("op") == "flush").unionByName(valid.select(*log.columns))
         state = CacheState(self._entries_before(batch, era), threshold=self.threshold)
         replay = replay_log(
             log,
@@ -84,14 +96,18 @@ class QueryStream:
         answers = responses(replay, results, state)
         answers.write.mode("overwrite").parquet(f"{self.root}/responses/batch={batch}")
         entries.write.mode("overwrite").parquet(f"{self.root}/entries/batch={batch}")
-        self.spark.createDataFrame([(replay.flushes,)], "flushes bigint").coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{self.root}/eras/batch={batch}")
+        self.spark.createDataFrame(
+            [(replay.flushes, ends["last"])], "flushes bigint, last_seq bigint"
+        ).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/eras/batch={batch}")
 
     def responses(self) -> DataFrame:
         """All answers so far."""
         return self._read("responses", RESPONSE_SCHEMA + ", batch bigint").drop("batch")
 
+    def rejected(self) -> DataFrame:
+        """All requests that weren't answered, with the reason."""
+        return self._read("rejected", _REJECTED).drop("batch")
+
     def _read(self, name: str, schema: str) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
@@ -100,9 +116,11 @@ class QueryStream:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def _era_before(self, batch: int) -> int:
+    def _before(self, batch: int) -> tuple[int, int | None]:
+        """Flushes of the earlier batches, and the last ``seq`` they answered."""
         earlier = self._read("eras", _ERAS).filter(F.col("batch") < batch)
-        return earlier.agg(F.coalesce(F.sum("flushes"), F.lit(0)).alias("n")).first()["n"]
+        row = earlier.agg(F.coalesce(F.sum("flushes"), F.lit(0)).alias("n"), F.max("last_seq").alias("last")).first()
+        return row["n"], row["last"]
 
     def _entries_before(self, batch: int, era: int) -> DataFrame:
         live = self._read("entries", _ENTRIES).filter(
@@ -116,7 +134,7 @@ class QueryStream:
         )
         return (
             live.filter(F.col("written") == F.col("seq"))
-            .join(small_side(again, "stream-rewritten", REWRITTEN_ROWS), "seq", "left")
+            .join(again, "seq", "left")
             .withColumn("result", F.coalesce("_result", "result"))
             .select("seq", "query", "vector", "result", "dominant_cluster", "membership_vector")
         )

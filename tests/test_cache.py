@@ -292,7 +292,12 @@ def test_stream_equals_replay(spark, centres, tmp_path):
     got = stream.responses()
     assert sorted(got.collect()) == sorted(expected.select(*got.columns).collect())
 
-    # Running the last batch again changes nothing.
+    # A batch out of order is refused, an invalid request set aside.
+    with pytest.raises(ValueError, match="begins at seq"):
+        stream.answer_batch(log_rows(spark, rows[:5]), 3)
+    stream.answer_batch(log_rows(spark, [(900, "query", "", unit(1), None, 5), (901, "query", "x", unit(1), 2.0, 5)]), 3)
+    assert {r["seq"] for r in stream.rejected().collect()} == {900, 901}
+    # Running an earlier batch again changes nothing.
     stream.answer_batch(log_rows(spark, rows[110:]), 2)
     assert sorted(stream.responses().collect()) == sorted(expected.select(*got.columns).collect())
 
