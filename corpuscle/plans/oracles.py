@@ -261,6 +261,8 @@ SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, source || '/' || doc
         "vector_collection": """
 SELECT vec_id AS doc_id, source AS category, row_number() OVER (ORDER BY vec_id) - 1 AS doc_index, 1.0::DOUBLE AS norm
 FROM embeddings LEFT JOIN documents ON vec_id = doc_id""",
+        "build_tables": f"""WITH {_USABLE}
+SELECT doc_id, category, row_number() OVER (ORDER BY doc_seq) - 1 AS doc_index, 4 AS n_clusters FROM usable""",
         "collection_count": "SELECT count(*) AS n FROM embeddings",
         "l2_normalize": f"""WITH {_VECTORS}, scaled AS (SELECT vec_id, pos, x * (vec_id % 7) AS x FROM cells),
 norms AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM scaled GROUP BY vec_id)

@@ -36,6 +36,7 @@ from corpuscle.operators import (
     silhouette,
     thresholds,
 )
+from corpuscle.plans.pipeline import run_build
 from corpuscle.session import ship_package
 from corpuscle.sources import articles, cache_store, tables
 from corpuscle.sources.shared import fresh_path, materialise, spread
@@ -436,6 +437,23 @@ def knn_result_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select("seq", flat_hits(F.col("result")).alias("hits"))
 
 
+# --- build ----------------------------------------------------------------
+
+
+@register
+def build_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offline build over all documents, then once more reusing its tables.
+
+    Five clusters are fitted, the bounds ask for four, so the model is fitted again.
+    """
+    root = fresh_path(spark, "build")
+    run_build(spark, raw_articles(spark, sf_dir), root, cluster_counts=(5,), bounds=(4, 4), fuzziness=1.1)
+    build = run_build(spark, None, root, reuse=True)
+    memberships, _ = tables.load_clusters(spark, build.clusters)
+    sizes = memberships.select("doc_id", F.size("memberships").alias("n_clusters"))
+    return tables.read_vectors(spark, build.collection).select("doc_id", "category", "doc_index").join(sizes, "doc_id")
+
+
 # --- clusters -------------------------------------------------------------
 
 
