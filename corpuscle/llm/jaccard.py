@@ -511,16 +511,27 @@ def _met_in_leaves(mixed: DataFrame, percent: int) -> DataFrame:
 
 
 def _met_in_pages(mixed: DataFrame, index: _Index, percent: int) -> DataFrame:
-    """Pairs of larger branches: a set outside visits the pages that its point can share enough with."""
+    """Pairs of larger branches: a set outside visits the pages that its point can share enough with.
+
+    Branches of one group of near copies have the same largest component, so
+    their sets are one list of pages, and a pair is met once and not in each of
+    its branches. ``own`` is the least of a set's branches there.
+    """
+    listed = (
+        mixed.groupBy("largest", "rep")
+        .agg(*[F.first(c).alias(c) for c in ("n_rep", "component", "led")], F.min("own").alias("own"))
+        .withColumn("branch", F.col("largest"))
+    )
+    sizes = listed.groupBy("branch").agg(F.count("*").alias("members"))
     tile = f"struct(cast(floor(ln(n_rep) / ln(1.1)) as int) as size, cast(pmod(xxhash64(rep), ceil(members / {PAGE})) as int) as share)"
-    tiled = mixed.join(index.column("rep", counts="c_rep"), "rep").withColumn("tile", F.expr(tile))
+    tiled = listed.join(sizes, "branch").join(index.column("rep", counts="c_rep"), "rep").withColumn("tile", F.expr(tile))
     pages = tiled.groupBy("branch", "tile").agg(
         F.min("n_rep").alias("n_least"), F.max("n_rep").alias("n_most"), F.min("own").alias("own_least"),
         F.array(*[F.max(F.col("c_rep")[i]) for i in range(GROUPS)]).alias("c_page"),
     )
     near = F.expr(f"100 * n_o >= {percent} * n_least and 100 * n_most >= {percent} * n_o")
     visits = (
-        _outside(mixed).join(index.column("o", counts="c_o"), "o").join(pages, "branch").filter(near)
+        _outside(listed).join(index.column("o", counts="c_o"), "o").join(pages, "branch").filter(near)
         .filter(f"{100 + percent} * (own_o + own_least) <= {100 - percent} * (n_o + n_most)")
         .filter(_bounded("c_o", "c_page", "n_o", "n_least", percent))
         .select("branch", "tile", "o", "outer", "n_o", "own_o", "led_o", "c_o")
