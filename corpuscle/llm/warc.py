@@ -27,6 +27,7 @@ CHUNK_CHARS = 262_144
 REVISIT_BYTES = 1000
 
 SEPARATOR = "\r\n\r\n"
+REST = b"\r\n"
 HTTP_HEADER = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -208,8 +209,12 @@ def read_archives(spark: SparkSession, path: str, with_chunks: bool = True) -> D
         for batch in batches:
             rows = []
             for value in batch.column(0):
-                rows += reader.feed(memoryview(value.as_buffer()))
-                rows += reader.feed(separator)
+                line = memoryview(value.as_buffer())
+                rows += reader.feed(line)
+                # A file that ends in an odd run of line ends leaves this rest, and no separator after it.
+                # Elsewhere there is no such line: with what follows, its bytes would be a separator.
+                if line != REST:
+                    rows += reader.feed(separator)
             columns = list(zip(*rows, strict=True)) or [()] * len(_CHUNKS_ARROW)
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _CHUNKS_ARROW, strict=True)], schema=_CHUNKS_ARROW)
         if reader.header is not None or reader.pending:

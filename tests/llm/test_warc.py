@@ -66,6 +66,22 @@ def test_chunks_and_files(spark, tmp_path):
     assert data.startswith(b"WARC/1.1\r\nWARC-Type: ") and data.endswith(b"\r\n\r\n")
 
 
+def test_last_record_ends_in_line_ends(spark, tmp_path):
+    pages = ["tail\r\n", "\r\n", "\r\n\r\n", "\r\n\r\n\r\n", "a\r\n\r\r\n", "x\r\n\r", "</html>\n\r\n"]
+    for i, html in enumerate(pages[:2]):
+        table = spark.createDataFrame([(i, "http://a", html)], "page_id bigint, url string, html string").coalesce(1)
+        (got,) = warc.round_trip(table, str(tmp_path / f"one{i}")).collect()
+        assert tuple(got)[:3] == (i, len(html), hashlib.sha1(html.encode()).hexdigest())
+    # Several such files in one task, compressed and plain.
+    rows = [(i, "http://a", pages[i % len(pages)]) for i in range(14)]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(14, "page_id")
+    warc.write_archives(table, str(tmp_path / "gzip"))
+    warc.records(table).write.option("lineSep", warc.SEPARATOR).text(str(tmp_path / "plain"))
+    for folder in ("gzip", "plain"):
+        got = warc.read_archives(spark, str(tmp_path / folder)).collect()
+        assert Counter((r["page_id"], r["chunk"]) for r in got) == Counter((r[0], r[2]) for r in rows)
+
+
 def test_damage_is_noticed(spark, tmp_path):
     path = tmp_path / "w"
     warc.write_archives(_pages(spark).filter("page_id = 6"), str(path))
