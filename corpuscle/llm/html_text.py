@@ -44,6 +44,26 @@ BESIDE_NAMES = frozenset(
     "discussion reader-comments share sharing social follow related recommended recommendations more-articles readmore trending "
     "newsletter subscribe subscription signup login register search searchbox form pagination pager paging tags tagcloud author-box hidden".split()
 )
+# Of these: names of what readers or advertisers add, so that a large element of such a name is still not the article.
+ADDED_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising adbox adsense adslot sponsor sponsored cookie cookies consent gdpr "
+    "comment comments commentlist disqus respond reply replies reader-comments hidden".split()
+)
+# Parts of compound names. Some tell of a state, style or subject, not of what the element is; some only
+# say that it is a box, so that the part before them is the head; heads that are text, after names of mere layout;
+# and what the header of a text is called after.
+STATE_PARTS = frozenset("with without has no not non overflow margin padding border long".split())
+SUBJECT_PARTS = frozenset("category tag tagged format status type".split())
+BOX_PARTS = frozenset("container wrapper wrap inner outer box area list item items links block section left right col column group row".split())
+TEXT_PARTS = frozenset("content contents body text main article post entry story page panel pane layout".split())
+LAYOUT_PARTS = frozenset(
+    "tabs form widget widgets notice notices alert overlay modal dialog header masthead search legal privacy bottom tags share social rail".split()
+)
+HEADERS = frozenset(["header", "masthead"])
+TITLED_PARTS = frozenset("post article entry story content page section single title blog".split())
+
+# What an element's tag and attributes say: nothing, a name of BESIDE_NAMES, one of ADDED_NAMES, or that it is beside for sure.
+NOTHING, NAMED, ADDED, SURE = range(4)
 
 FEATURES = (
     "words", "link_density", "previous_words", "previous_link_density", "next_words", "next_link_density",
@@ -64,33 +84,124 @@ class Block(NamedTuple):
     heading: bool
 
 
-def _is_beside(tag: str, attributes: str, in_main: bool) -> bool:
+def _named(name: str, tag: str, in_main: bool) -> int:
+    """What one class name or id says. A compound is judged by its head or, failing that, by its first part."""
+    parts = [p.lower() for p in _NAME_PARTS.findall(name)]
+    if name.lower() in BESIDE_NAMES:
+        parts = [name.lower()]
+    elif not parts or STATE_PARTS.intersection(parts) or parts[0] in SUBJECT_PARTS or (in_main and tag == "header"):
+        return NOTHING
+    while len(parts) > 1 and parts[-1] in BOX_PARTS:
+        parts.pop()
+    first, head = parts[0], parts[-1]
+    if head in TEXT_PARTS and first in LAYOUT_PARTS:
+        return NOTHING
+    if head in HEADERS and (in_main or first in TITLED_PARTS):
+        return NOTHING
+    if head not in BESIDE_NAMES and first not in BESIDE_NAMES:
+        return NOTHING
+    if head not in BESIDE_NAMES and first in HEADERS and in_main:
+        return NOTHING
+    return ADDED if head in ADDED_NAMES or first in ADDED_NAMES else NAMED
+
+
+def _mark(tag: str, attributes: str, in_main: bool) -> int:
+    """What tag and attributes say of an element by themselves."""
     if tag in BESIDE or (tag == "header" and not in_main):
-        return True
+        return SURE
     if not attributes.strip() or tag in ("html", "body"):
-        return False
+        return NOTHING
+    said = NOTHING
     for match in _ATTRIBUTE.finditer(attributes):
         name = (match[1] or match[5]).lower()
         value = html.unescape(match[2] or match[3] or match[4] or "")
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return SURE
         if name == "role" and BESIDE_ROLES.intersection(value.lower().split()):
-            return True
+            return SURE
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return SURE
         if name in ("class", "id"):
             for one in value.split():
-                parts = {p.lower() for p in _NAME_PARTS.findall(one)}
-                if one.lower() in BESIDE_NAMES or (parts & BESIDE_NAMES and not (in_main and tag == "header")):
-                    return True
-    return False
+                said = max(said, _named(one, tag, in_main))
+    return said
+
+
+class _Element:
+    """An element that holds blocks: what it says of itself, and what is found in it."""
+
+    __slots__ = ("above", "tag", "outer_main", "in_main", "mark", "own", "words", "holds", "beside")
+
+    def __init__(self, above: _Element | None, tag: str, mark: int):
+        self.above, self.tag, self.mark = above, tag, mark
+        self.outer_main = above is not None and above.in_main
+        self.in_main = self.outer_main or tag in MAIN
+        # Words outside links: directly in it, and in all of it. ``holds``: the tags of MAIN in it.
+        self.own = self.words = 0
+        self.holds: set[str] = set()
+        self.beside = False
+
+
+def _settle(elements: list[_Element]) -> None:
+    """Say which elements are beside the main text; ``elements`` has those that hold others first.
+
+    A name does not count where its element holds ``main``; nor, where no main
+    text would stand otherwise, if it holds an article that isn't outweighed by
+    what no name marks, or most of the page's words outside links. Comments and
+    adverts need both, an article and most words.
+    """
+    # Nothing in what is beside for sure weighs or is held.
+    for e in elements:
+        e.beside = e.mark == SURE or (e.above is not None and e.above.beside)
+    added = 0
+    for e in reversed(elements):
+        if e.beside:
+            continue
+        e.words += e.own
+        if e.mark and not e.outer_main and "main" in e.holds:
+            e.mark = NOTHING
+        if e.mark == ADDED:
+            added += e.words
+        elif e.above is not None:
+            e.above.words += e.words
+            e.above.holds |= e.holds
+            if e.tag in MAIN:
+                e.above.holds.add(e.tag)
+    total = elements[0].words
+    _, standing = _unmarked(elements)
+    for e in elements:
+        # Where main text stands, what is most of the page outside of it is a long footer, say.
+        if e.mark == NAMED and 2 * e.words > total and (e.outer_main or not standing):
+            e.mark = NOTHING
+    free, standing = _unmarked(elements)
+    for e in elements:
+        enough = e.mark == NAMED or (e.mark == ADDED and 2 * e.words > total + added)
+        if enough and not standing and not e.outer_main and "article" in e.holds and e.words >= free:
+            e.mark = NOTHING
+    for e in elements:
+        e.beside = e.mark != NOTHING or (e.above is not None and e.above.beside)
+
+
+def _unmarked(elements: list[_Element]) -> tuple[int, int]:
+    """Words outside links in what nothing marks, and those of them in main text."""
+    marked: set[int] = set()
+    words = main = 0
+    for e in elements:
+        if e.mark or (e.above is not None and id(e.above) in marked):
+            marked.add(id(e))
+        else:
+            words += e.own
+            main += e.own if e.in_main else 0
+    return words, main
 
 
 def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page in order: references decoded, each blank run one space."""
     out: list[Block] = []
-    # What is open: (tag, within main text, beside it).
-    open_: list[tuple[str, bool, bool]] = []
+    # All elements that hold blocks, what is open of them, and the element of each block.
+    elements = [_Element(None, "", NOTHING)]
+    open_ = elements[:]
+    owners: list[_Element] = []
     text: list[str] = []
     links: list[str] = []
     link_depth = 0
@@ -98,16 +209,14 @@ def blocks(page: str | None) -> list[Block]:
     at = 0
     page = page or ""
 
-    def state() -> tuple[bool, bool]:
-        return open_[-1][1:] if open_ else (False, False)
-
     def flush() -> None:
         nonlocal text, links
         joined = " ".join(html.unescape("".join(text)).split())
         if joined:
-            in_main, beside = state()
             linked = len(html.unescape("".join(links)).split())
-            out.append(Block(joined, len(joined.split()), linked, in_main, beside, heading))
+            out.append(Block(joined, len(joined.split()), linked, open_[-1].in_main, False, heading))
+            owners.append(open_[-1])
+            open_[-1].own += max(0, out[-1].words - linked)
         text, links = [], []
 
     while at < len(page):
@@ -141,8 +250,9 @@ def blocks(page: str | None) -> list[Block]:
             link_depth = max(0, link_depth + (-1 if closing else 1)) if not closing or link_depth else 0
             link_depth = min(link_depth, 1)
             continue
-        if tag in INLINE and not (not closing and match[3].strip() and _is_beside(tag, match[3], state()[0])):
-            if tag == "span" and closing and any(t == "span" for t, _, _ in open_):
+        mark = NOTHING if closing else _mark(tag, match[3], open_[-1].in_main)
+        if tag in INLINE and not (not closing and match[3].strip() and mark):
+            if tag == "span" and closing and any(e.tag == "span" for e in open_):
                 pass
             else:
                 continue
@@ -153,20 +263,24 @@ def blocks(page: str | None) -> list[Block]:
         if tag in VOID:
             continue
         if closing:
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] == tag:
+            for i in range(len(open_) - 1, 0, -1):
+                if open_[i].tag == tag:
                     # Inline elements and paragraphs don't close what holds them.
                     del open_[i:]
                     link_depth = 0
                     break
         elif tag in HOLDERS or (tag in INLINE) or match[3].strip():
-            if tag in ("p", "li", "dt", "dd", "pre") and not _is_beside(tag, match[3], state()[0]):
+            if tag in ("p", "li", "dt", "dd", "pre") and not mark:
                 continue
-            in_main, beside = state()
-            within = in_main or tag in MAIN
+            if mark in (NAMED, ADDED) and tag in MAIN and not (mark == ADDED and any(e.tag == "article" for e in open_)):
+                # Names don't mark main text, but an article within another may be a comment.
+                mark = NOTHING
             # Comments and adverts stay outside even where an article element holds them.
-            open_.append((tag, within, beside or _is_beside(tag, match[3], in_main)))
+            elements.append(_Element(open_[-1], tag, mark))
+            open_.append(elements[-1])
     flush()
+    _settle(elements)
+    out = [b._replace(beside=e.beside) if e.beside else b for b, e in zip(out, owners, strict=True)]
     return out
 
 
@@ -207,11 +321,17 @@ _LABELLED = (
     off on the way down from the pass, and how it was mended with a shoelace.</p><p>+It held.</p><div><a>-Contact</a></div></body>""",
     """<body><form>-Your name <input></form><article><h2>+Notes</h2><p>+One.</p><p>+Two words.</p><ul><li>+An item of a list within the article</li><li><a>+Source
     of the article</a></li></ul><aside>-A box at the side of the article with some more words in it</aside></article></body>""",
+    """<body><div class="top-nav"><a>-Start</a> <a>-Topics</a></div><main class="page-with-sidebar"><div class="post-header"><h1>+Clocks</h1></div>
+    <div class="tabs-content"><p>+The oldest clock of the town has one hand only, and it is wound by a baker every morning before work.</p><p>+It is
+    late.</p></div><div class="sidebar">-Clocks for sale in many sizes, also by mail</div></main><div class="site-footer">-Imprint</div></body>""",
+    """<body><div class="main-menu"><a>-Home</a> <a>-Maps</a></div><div id="content" class="has-sidebar"><p>+The path begins behind the mill, follows
+    the stream for an hour and then climbs through old woods to the ridge above the lake.</p><p>+From there one sees both valleys, and on clear
+    days even the glaciers far in the south of the country.</p></div><div class="sidebar">-Huts nearby, with beds for all</div></body>""",
 )
 
 
 def labelled_blocks(spark: SparkSession) -> DataFrame:
-    """The small labelled table: features and ``main`` of about sixty blocks."""
+    """The small labelled table: features and ``main`` of about eighty blocks."""
     rows = []
     for page in _LABELLED:
         found = blocks(page)

@@ -60,3 +60,29 @@ def test_cases(spark, tree):
         *((i, None if i == 3 else "u", text) for i, (_, text) in enumerate(CASES)), (None, "u", CASES[0][1]), (0, "u", CASES[0][1])
     ]
     assert html_text.extract(spark.createDataFrame([], "page_id bigint, url string, html string"), tree).count() == 0
+
+
+NAMED = [
+    (f"<main class='page-with-sidebar'><h1>T</h1><p>{ROOM}</p></main>", f"T\n\n{ROOM}"),
+    (f"<body><div class='top-nav'><a>Home</a></div><div id='content' class='has-sidebar'><p>{ROOM}</p></div><div class='sidebar'>{ROOM[:40]}</div>", ROOM),
+    (f"<body><article class='post category-notice'><h1>T</h1><p>{ROOM}</p></article><div id='comments'><p>{ROOM} {ROOM}</p></div>", f"T\n\n{ROOM}"),
+    (f"<body><article><div class='tabs-content'><p>{ROOM}</p><p>Yes.</p></div></article>", f"{ROOM}\n\nYes."),
+    (f"<body><article><div class='post-header'><h1>T</h1></div><p>{ROOM}</p></article>", f"T\n\n{ROOM}"),
+    (f"<body><article><header class='header'><h1>T</h1></header><p>{ROOM}</p><div class='post-comments'>{ROOM}</div></article>", f"T\n\n{ROOM}"),
+    (f"<body><div class='sidebar'><main><p>{ROOM}</p></main></div><div class='site-footer'>{ROOM} {ROOM}</div>", ROOM),
+    (f"<body><div class='widget'><article><p>{ROOM}</p></article></div><div class='comment-list'><article><p>{ROOM} {ROOM}</p></article></div>", ROOM),
+    (f"<body><div class='tabs'><p>{ROOM}</p><p>{ROOM}</p></div><div class='cookie-notice'>{ROOM} {ROOM} {ROOM}</div>", f"{ROOM}\n\n{ROOM}"),
+    (f"<main><p>{ROOM}</p><article class='promo'><p>{ROOM}</p></article></main>", f"{ROOM}\n\n{ROOM}"),
+    (f"<article><p>{ROOM}</p><article class='comment'><p>{ROOM}</p></article><div class='ad'>{ROOM} {ROOM}</div></article>", ROOM),
+    (f"<body><div class='related-posts'><article><p>{ROOM}</p></article></div><div class='text'><p>{ROOM} {ROOM}</p></div>", f"{ROOM} {ROOM}"),
+]
+# Judged by head or first part, in main text too; long footers of short articles stay out.
+NAMED += [
+    (f"<body><article><p>{ROOM}</p></article><div class='footer-links'>{ROOM} {ROOM}</div>", ROOM),
+    (f"<body><div class='tabs'><p>{ROOM} {ROOM}</p></div><div class='related-posts'><article><p>{ROOM}</p></article></div>", f"{ROOM} {ROOM}"),
+    (f"<body><p>{ROOM}</p><div class='sidebarWidget'><p>{ROOM}</p></div>", ROOM),
+]
+
+
+def test_names_around_main_text(tree):
+    assert [html_text.main_text(page, tree) for page, _ in NAMED] == [text for _, text in NAMED]
