@@ -26,7 +26,8 @@ from corpuscle.llm import hashing
 from corpuscle.sources.shared import materialise
 
 ERRORS_PERCENT = 20
-# Items of fewer words match only documents that consist of them.
+# Items of fewer words have no error budget. With ``short_within`` they are one exact
+# piece and found anywhere; else they match only documents that consist of them.
 LEAST_WORDS = 6
 # Words of the items that are sent to the tasks at a time.
 BLOCK_WORDS = 2_000_000
@@ -65,14 +66,21 @@ def place(pattern: list[int], text: list[int]) -> tuple[int, int, int]:
     return best, end - back, end
 
 
+def _key(run: np.ndarray) -> int:
+    """The rolling hash of all words of a run."""
+    return int(hashing.grams(hashing.Words(np.zeros(len(run), np.int64), run, run, run), len(run))[1][0])
+
+
 class Items:
     """Word hashes of a block of items, and where their pieces stand."""
 
-    def __init__(self, rows: list[tuple[int, str | None]], errors_percent: int):
+    def __init__(self, rows: list[tuple[int, str | None]], errors_percent: int, short_within: bool = False):
         self.ids = [row[0] for row in rows]
         self.words: list[list[int]] = []
         self.budgets: list[int] = []
         self.whole: dict[int, list[int]] = {}
+        self.short_within = short_within
+        short: dict[int, dict[int, list[int]]] = {}
         pieces: dict[int, dict[int, list[tuple[int, int]]]] = {}
         texts = pa.array([row[1] or "" for row in rows], pa.string())
         for part in hashing.slices(texts):
@@ -82,6 +90,11 @@ class Items:
                 self._add(words, int(a), int(b), errors_percent, pieces)
         self.keys = {k: np.array(sorted(found), dtype=np.uint64) for k, found in pieces.items()}
         self.pieces = pieces
+        for n, numbers in self.whole.items() if short_within else ():
+            for number in numbers:
+                short.setdefault(n, {}).setdefault(_key(np.array(self.words[number], np.uint64)), []).append(number)
+        self.short = short
+        self.short_keys = {n: np.array(sorted(found), dtype=np.uint64) for n, found in short.items()}
 
     def _add(self, words: hashing.Words, a: int, b: int, errors_percent: int, pieces: dict) -> None:
         number, n = len(self.words), b - a
@@ -95,9 +108,7 @@ class Items:
         cuts = np.linspace(0, n, self.budgets[-1] + 2).astype(int)
         for start, end in zip(cuts, cuts[1:], strict=False):
             run = own[start:end]
-            only = hashing.Words(np.zeros(len(run), np.int64), run, run, run)
-            key = int(hashing.grams(only, len(run))[1][0])
-            pieces.setdefault(len(run), {}).setdefault(key, []).append((number, int(start)))
+            pieces.setdefault(len(run), {}).setdefault(_key(run), []).append((number, int(start)))
 
     def search(self, texts: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
         """(row, item, errors, first word, last word) of the best place of every item in every text."""
@@ -113,13 +124,30 @@ class Items:
                     for number, start in self.pieces[k][g]:
                         places.setdefault(int(words.text[i]), set()).add((number, i - start))
             sizes = np.diff(first)
-            for n, numbers in self.whole.items():
+            yield from self._short(part.first, words, first)
+            for n, numbers in () if self.short_within else self.whole.items():
                 for row in np.flatnonzero(sizes == n).tolist():
                     own = words.hash[first[row] : first[row + 1]].tolist()
                     yield from ((part.first + row, i, 0, 0, n - 1) for i in numbers if self.words[i] == own)
             for row, found in sorted(places.items()):
                 yield from self._verified(part.first + row, words.hash, int(first[row]), int(first[row + 1]), found)
 
+    def _short(self, row: int, words: hashing.Words, first: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """The first place of every short item in every text of a slice that starts at ``row``."""
+        for n, keys in self.short_keys.items():
+            at, gram = hashing.grams(words, n)
+            hit = keys[np.minimum(np.searchsorted(keys, gram), len(keys) - 1)] == gram
+            at, gram = at[hit], gram[hit]
+            # A frequent word may be an item: of its places in a text only the first is looked at.
+            order = np.lexsort((at, gram, words.text[at]))
+            at, gram = at[order], gram[order]
+            new = np.ones(len(at), bool)
+            new[1:] = (gram[1:] != gram[:-1]) | (words.text[at[1:]] != words.text[at[:-1]])
+            for i, g in zip(at[new].tolist(), gram[new].tolist(), strict=True):
+                text, own = int(words.text[i]), words.hash[i : i + n].tolist()
+                start = i - int(first[text])
+                yield from ((row + text, number, 0, start, start + n - 1) for number in self.short[n][g] if self.words[number] == own)
+
     def _verified(self, row: int, hashes: np.ndarray, begin: int, end: int, found: set[tuple[int, int]]) -> Iterator[tuple]:
         best: dict[int, tuple[int, int, int]] = {}
         done: dict[int, int] = {}
@@ -138,7 +166,9 @@ class Items:
             yield row, number, errors, start, stop
 
 
-def item_blocks(benchmark: DataFrame, errors_percent: int, key: str, text: str, block_words: int) -> Iterator[Items]:
+def item_blocks(
+    benchmark: DataFrame, errors_percent: int, key: str, text: str, block_words: int, short_within: bool = False,
+) -> Iterator[Items]:
     items = materialise(
         benchmark.select(F.col(key).cast("bigint").alias("item_id"), F.col(text).alias("text")).filter("item_id is not null").distinct(),
         "decontaminate-items",
@@ -149,19 +179,20 @@ def item_blocks(benchmark: DataFrame, errors_percent: int, key: str, text: str,
         # About ``block_words`` words, however large the benchmark is.
         rows = items.filter(F.expr(f"pmod(xxhash64(item_id, text), {blocks}) = {number}")).orderBy("item_id", "text").collect()
         if rows:
-            yield Items([(r["item_id"], r["text"]) for r in rows], errors_percent)
+            yield Items([(r["item_id"], r["text"]) for r in rows], errors_percent, short_within)
 
 
 def find_hits(
     docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
-    item_text: str = "text", errors_percent: int = ERRORS_PERCENT, block_words: int = BLOCK_WORDS,
+    item_text: str = "text", errors_percent: int = ERRORS_PERCENT, block_words: int = BLOCK_WORDS, short_within: bool = False,
 ) -> DataFrame:
     """A row per document row and item that stands in it: errors, budget, and the words it takes.
 
     Of several places the one with fewest errors counts, then the first. Null
     and empty texts match nothing, nor do items without words or key; repeated
     document rows give repeated rows, a null key is kept; of an item key with
-    several texts each text is an item; other columns are ignored.
+    several texts each text is an item; other columns are ignored. ``short_within``:
+    find items of fewer than ``LEAST_WORDS`` words anywhere, not only as whole texts.
     """
     narrow = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
@@ -178,16 +209,16 @@ def find_hits(
 
         return narrow.mapInArrow(scan, HITS)
 
-    parts = [hits(items) for items in item_blocks(benchmark, errors_percent, item_key, item_text, block_words)]
+    parts = [hits(items) for items in item_blocks(benchmark, errors_percent, item_key, item_text, block_words, short_within)]
     return reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], HITS)
 
 
 def remove_contaminated(
     docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_key: str = "item_id", item_text: str = "text",
-    errors_percent: int = ERRORS_PERCENT, block_words: int = BLOCK_WORDS,
+    errors_percent: int = ERRORS_PERCENT, block_words: int = BLOCK_WORDS, short_within: bool = False,
 ) -> DataFrame:
-    """The rows of ``docs`` in which no item stands, with all their columns."""
-    for items in item_blocks(benchmark, errors_percent, item_key, item_text, block_words):
+    """The rows of ``docs`` in which no item stands, with all their columns; items as in ``find_hits``."""
+    for items in item_blocks(benchmark, errors_percent, item_key, item_text, block_words, short_within):
         docs = docs.filter(_is_clean(items)(F.col(text)))
     return docs
 

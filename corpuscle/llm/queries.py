@@ -51,7 +51,7 @@ def op6_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.find_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), short_within=True)
 
 
 def op8_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

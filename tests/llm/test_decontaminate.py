@@ -97,3 +97,38 @@ def test_distance_places():
     assert dc.place([1, 2, 3], [9, 1, 2, 3, 9]) == (0, 1, 4)
     assert dc.place([1, 2, 3], [9, 1, 3, 9])[0] == 1
     assert dc.place([1], []) == (1, 0, 0)
+
+
+def test_short_items_within_texts(spark):
+    """Every item of fewer words than ``LEAST_WORDS`` at its first exact place, longer ones as without the option."""
+    docs, items = _tables(4)
+    items = [*items, (50, "w1"), (51, "W2, w3"), (52, "a b c"), (53, "w1")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    expected = []
+    for d, text in docs:
+        words = _words(text)
+        for i, item in items:
+            pattern = _words(item)
+            n = len(pattern)
+            at = next((a for a in range(len(words) - n + 1) if words[a : a + n] == pattern), None)
+            if 0 < n < dc.LEAST_WORDS and at is not None:
+                expected.append((d, i, 0, 0, at, at + n - 1, n))
+    for block in (10**6, 60):
+        got = list(map(tuple, dc.find_hits(frame, bench, block_words=block, short_within=True).collect()))
+        assert sorted((r for r in got if r[6] < dc.LEAST_WORDS), key=repr) == sorted(expected, key=repr)
+        longer = [tuple(r) for r in dc.find_hits(frame, bench, block_words=block).collect() if r["n_item_words"] >= dc.LEAST_WORDS]
+        assert sorted((r for r in got if r[6] >= dc.LEAST_WORDS), key=repr) == sorted(longer, key=repr)
+    kept = dc.remove_contaminated(frame, bench, short_within=True).collect()
+    hit = {r[0] for r in got}
+    assert sorted((r["doc_id"] for r in kept), key=repr) == sorted((d for d, _ in docs if d not in hit), key=repr)
+
+
+def test_registered_query_finds_short_items(spark, tmp_path):
+    from corpuscle.llm import queries
+
+    spark.createDataFrame([(1, "it is said that Paris is the capital of France today")], "doc_id bigint, text string").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    spark.createDataFrame([(7, "capital of France")], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert [tuple(r) for r in queries.op7_pigeonhole_decontamination(spark, str(tmp_path)).collect()] == [(1, 7, 0, 0, 7, 9, 3)]
