@@ -12,10 +12,11 @@ def held_out(key: str = "doc_id", folds: int = 5) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, rows: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, text, label`` of at most ``rows`` labelled keys that are not held out.
+    """``doc_id, text, label``: at most ``rows`` rows, one for each labelled key that is not held out.
 
     Which ones is settled by a hash of the key. Rows without key or label are
-    left out; of several labels of a key the largest counts.
+    left out; of several labels of a key the largest counts, and of several
+    texts the smallest.
     """
     chosen = (
         labels.select(F.col(key).cast("bigint").alias("doc_id"), label.cast("int").alias("label"))
@@ -27,4 +28,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, rows: int
         .limit(rows)
     )
     texts = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id")  # at most ``rows`` pairs of numbers
+    found = texts.join(F.broadcast(chosen), "doc_id")  # at most ``rows`` pairs of numbers
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
