@@ -29,9 +29,20 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM m
 """
 
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h
+  FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
+  row_number() OVER w = 1 AS kept, h AS text_sha256
+FROM d WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id NULLS LAST)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_uniform_threshold_topk": OP4,
         "op8_warc_chunks": OP8,
+        "op13_digest_runs": OP13,
     }
