@@ -29,6 +29,52 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM m
 """
 
+_OP11_START = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, label, [floor(4096 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), p AS MATERIALIZED (
+  SELECT row, vec_id, part, e[part * len(e) // 8 + 1 : (part + 1) * len(e) // 8] AS x FROM v, range(8) AS parts(part)
+), c0 AS MATERIALIZED (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS c FROM p
+  QUALIFY entry < 16
+)"""
+
+_OP11_ASSIGN = """
+a{n} AS MATERIALIZED (
+  SELECT row, part, any_value(x) AS x, min({{'d': list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c), 'entry': entry}}) AS best
+  FROM p JOIN c{n} USING (part) GROUP BY row, part
+)"""
+
+_OP11_MEAN = """
+s{n} AS (
+  SELECT part, best.entry AS entry, pos, count(*) AS n, CAST(sum(x[pos]) AS BIGINT) AS s
+  FROM a{before}, range(1, 1025) AS places(pos) WHERE pos <= len(x) GROUP BY ALL
+), m{n} AS (
+  SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY pos) AS m FROM s{n} GROUP BY part, entry
+), c{n} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m, c) AS c FROM c{before} LEFT JOIN m{n} USING (part, entry)
+)"""
+
+_OP11_END = """
+SELECT v.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM v JOIN (
+  SELECT row, string_agg(format('{{:02x}}', best.entry), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY row
+) USING (row), (
+  SELECT sha256(string_agg(CAST(CAST(c[pos] AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256
+  FROM c{rounds}, range(1, 1025) AS places(pos) WHERE pos <= len(c)
+)
+"""
+
+
+def op11(rounds: int = 6) -> str:
+    steps = [_OP11_START, _OP11_ASSIGN.format(n=0)]
+    for n in range(1, rounds + 1):
+        steps += [_OP11_MEAN.format(n=n, before=n - 1), _OP11_ASSIGN.format(n=n)]
+    return ",".join(steps) + _OP11_END.format(rounds=rounds)
+
+
 OP13 = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h
@@ -44,5 +90,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_uniform_threshold_topk": OP4,
         "op8_warc_chunks": OP8,
+        "op11_hilbert_block_codes": op11(),
         "op13_digest_runs": OP13,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuscle.llm import decontaminate, exact_dedup, html_text, jaccard, licenses, ordinal, packing, topk, toxicity, urls, warc
+from corpuscle.llm import codes, decontaminate, exact_dedup, html_text, jaccard, licenses, ordinal, packing, topk, toxicity, urls, warc
 from corpuscle.sources.shared import fresh_path
 
 
@@ -66,6 +66,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_hilbert_block_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.encode(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(_table(spark, sf_dir, "documents"))
 
@@ -88,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_warc_chunks,
         op9_license_diagonals,
         op10_best_fit_packing,
+        op11_hilbert_block_codes,
         op13_digest_runs,
         pipeline,
     )
