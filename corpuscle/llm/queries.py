@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuscle.llm import codes, decontaminate, exact_dedup, html_text, jaccard, licenses, ordinal, packing, topk, toxicity, urls, warc
+from corpuscle.llm import codes, conversations, decontaminate, exact_dedup, html_text, jaccard, licenses, ordinal, packing, topk, toxicity, urls, warc
 from corpuscle.sources.shared import fresh_path
 
 
@@ -70,6 +70,11 @@ def op11_hilbert_block_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.encode(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_block_table_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damage(turns), turns)
+
+
 def op13_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(_table(spark, sf_dir, "documents"))
 
@@ -93,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_license_diagonals,
         op10_best_fit_packing,
         op11_hilbert_block_codes,
+        op12_block_table_repair,
         op13_digest_runs,
         pipeline,
     )
