@@ -19,7 +19,8 @@ in a branch for certain. The order puts frequent shingles last.
    component meet those of its members that have least of their own; those still
    outside descend: first to pages, then to points of other components, bounded
    by the minima and by what is their own.
-4. Pairs that survive are verified on their whole shingle sets, block against block.
+4. What survives is verified on whole shingle sets, block against block; visits to
+   pages are compared where they meet, and no list of their pairs is made.
 
 No branch is gathered in one task: pivots are minima, and all else are joins
 that Spark can split.
@@ -214,6 +215,39 @@ def _shingles(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     return texts.mapInArrow(expand, "rep bigint, shingles array<bigint>")
 
 
+_TILE = ["family", "lo", "hi"]
+
+
+def _sets_of_tiles(wanted: DataFrame, stands: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """``family, lo, hi, rep, shingles`` for the distinct rows ``family, lo, hi, rep``, from a document of each set."""
+    asked = (
+        wanted.join(stands.select("rep", "doc_id", "set_id"), "rep")
+        .groupBy("doc_id")
+        .agg(F.collect_list(F.struct("set_id", "rep", *_TILE)).alias("asked"))
+    )
+    columns = "family bigint, lo int, hi int, rep bigint, shingles array<bigint>"
+    schema = pa.schema([("family", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("rep", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in hashing.slices(batch.column(0)):
+                wanted = batch.column(1).slice(part.first, len(part.bounds) - 1).to_pylist()
+                rows, lists = [], []
+                for found, tiles in zip(shingle_sets(part, k), wanted, strict=True):
+                    here = set_id(found)
+                    for tile in tiles:
+                        if tile["set_id"] == here:
+                            rows.append((tile["family"], tile["lo"], tile["hi"], tile["rep"]))
+                            lists.append(found)
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+                values = np.concatenate(lists).view(np.int64) if lists else np.zeros(0, np.int64)
+                keys = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=False)] or [pa.array([], f.type) for f in list(schema)[:4]]
+                yield pa.record_batch([*keys, pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], schema=schema)
+
+    texts = docs.join(small_side(asked, "jaccard-asked", COPIED_ROWS), "doc_id").select("text", "asked")
+    return texts.mapInArrow(expand, columns)
+
+
 def _verified(pairs: DataFrame, stands: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Links among the stored ``pairs`` (``a``, ``b``) after comparing the whole sets.
 
@@ -240,32 +274,6 @@ def _verified(pairs: DataFrame, stands: DataFrame, docs: DataFrame, k: int, perc
         .select("family", F.least("a_block", "b_block").alias("lo"), F.greatest("a_block", "b_block").alias("hi"), "a", "b")
     )
     tiled = materialise(tiled, "jaccard-tiles")
-    asked = (
-        tiled.select("family", "lo", "hi", F.explode(F.array("a", "b")).alias("rep"))
-        .distinct()
-        .join(stands.select("rep", "doc_id", "set_id"), "rep")
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("set_id", "rep", "family", "lo", "hi")).alias("asked"))
-    )
-    columns = "family bigint, lo int, hi int, rep bigint, shingles array<bigint>"
-    schema = pa.schema([("family", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("rep", pa.int64()), ("shingles", pa.list_(pa.int64()))])
-
-    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in hashing.slices(batch.column(0)):
-                wanted = batch.column(1).slice(part.first, len(part.bounds) - 1).to_pylist()
-                rows, lists = [], []
-                for found, tiles in zip(shingle_sets(part, k), wanted, strict=True):
-                    here = set_id(found)
-                    for tile in tiles:
-                        if tile["set_id"] == here:
-                            rows.append((tile["family"], tile["lo"], tile["hi"], tile["rep"]))
-                            lists.append(found)
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-                values = np.concatenate(lists).view(np.int64) if lists else np.zeros(0, np.int64)
-                keys = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=False)] or [pa.array([], f.type) for f in list(schema)[:4]]
-                yield pa.record_batch([*keys, pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], schema=schema)
-
     def compare(sets: pa.Table, here: pa.Table) -> pa.Table:
         lists = sets.column("shingles").combine_chunks()
         ends = lists.offsets.to_numpy()
@@ -282,10 +290,9 @@ def _verified(pairs: DataFrame, stands: DataFrame, docs: DataFrame, k: int, perc
                 b.append(y)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    texts = docs.join(small_side(asked, "jaccard-asked", COPIED_ROWS), "doc_id").select("text", "asked")
-    tile = ["family", "lo", "hi"]
-    sets = texts.mapInArrow(expand, columns).groupBy(*tile)
-    return sets.cogroup(tiled.groupBy(*tile)).applyInArrow(compare, "a bigint, b bigint")
+    wanted = tiled.select(*_TILE, F.explode(F.array("a", "b")).alias("rep")).distinct()
+    sets = _sets_of_tiles(wanted, stands, docs, k).groupBy(*_TILE)
+    return sets.cogroup(tiled.groupBy(*_TILE)).applyInArrow(compare, "a bigint, b bigint")
 
 
 def similar_groups(
@@ -305,8 +312,9 @@ def similar_groups(
     keyed = table.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     sets = materialise(keyed.groupBy("set_id").agg(F.min("row_id").alias("rep"), F.min("doc_id").alias("least_id")), "jaccard-sets")
     # The row that stands for each set, with its own document.
+    standing = small_side(sets.select(F.col("rep").alias("row_id")), "jaccard-standing", COPIED_ROWS)
     stands = materialise(
-        keyed.join(sets.select(F.col("rep").alias("row_id")), "row_id", "left_semi")
+        keyed.join(standing, "row_id", "left_semi")
         .select(F.col("row_id").alias("rep"), "doc_id", "set_id", "n", "branches", "marks", "counts"),
         "jaccard-stands",
     )
@@ -490,9 +498,8 @@ def _links(stands: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
     decided = decided.unionByName(to_mates)
 
     mixed = index.mixed(links)
-    met = _met_in_leaves(mixed.filter(F.col("members") <= PAGE), percent).unionByName(
-        _met_in_pages(mixed.filter(F.col("members") > PAGE), index, percent)
-    )
+    links = links.unionByName(_linked_in_pages(mixed.filter(F.col("members") > PAGE), index, percent))
+    met = _met_in_leaves(mixed.filter(F.col("members") <= PAGE), percent)
     rest = materialise(_ordered(met, "o", "rep").join(decided, ["a", "b"], "left_anti"), "jaccard-rest")
     return links.unionByName(index.links(rest, "rest"))
 
@@ -510,32 +517,81 @@ def _met_in_leaves(mixed: DataFrame, percent: int) -> DataFrame:
     return _outside(mixed).join(mixed, "branch").filter(_DESCENDS).filter(_fits("n_o", "n_rep", percent)).select("o", "rep")
 
 
-def _met_in_pages(mixed: DataFrame, index: _Index, percent: int) -> DataFrame:
-    """Pairs of larger branches: a set outside visits the pages that its point can share enough with.
+def _linked_in_pages(mixed: DataFrame, index: _Index, percent: int) -> DataFrame:
+    """Links of larger branches: a set outside visits the pages that its point can share enough with.
 
     Branches of one group of near copies have the same largest component, so
     their sets are one list of pages, and a pair is met once and not in each of
-    its branches. ``own`` is the least of a set's branches there.
+    its branches. ``own`` is the least of a set's branches there. No pair is
+    listed: a row is a visit to a page, and pages of one block meet their
+    visitors, ``BLOCK`` at a time, in one task that compares whole sets.
     """
     listed = (
         mixed.groupBy("largest", "rep")
         .agg(*[F.first(c).alias(c) for c in ("n_rep", "component", "led")], F.min("own").alias("own"))
         .withColumn("branch", F.col("largest"))
     )
-    sizes = listed.groupBy("branch").agg(F.count("*").alias("members"))
-    tile = f"struct(cast(floor(ln(n_rep) / ln(1.1)) as int) as size, cast(pmod(xxhash64(rep), ceil(members / {PAGE})) as int) as share)"
-    tiled = listed.join(sizes, "branch").join(index.column("rep", counts="c_rep"), "rep").withColumn("tile", F.expr(tile))
-    pages = tiled.groupBy("branch", "tile").agg(
+    sizes = listed.groupBy("branch").agg(F.count("*").alias("members"), F.count_if(F.col("component") != F.col("branch")).alias("outside"))
+    tiled = listed.join(sizes, "branch").select(
+        "branch", "rep", "n_rep", "own", "component", "led",
+        F.expr(f"cast(pmod(xxhash64(rep), ceil(members / {BLOCK})) as int)").alias("block"),
+        F.expr(f"cast(floor(ln(n_rep) / ln(1.1)) as int) * {max(1, BLOCK // PAGE)} + cast(pmod(xxhash64(rep, 3), {max(1, BLOCK // PAGE)}) as int)").alias("page"),
+        F.expr(f"cast(pmod(xxhash64(rep, 5), ceil(outside / {BLOCK})) as int)").alias("part"),
+    )
+    tiled = materialise(tiled, "jaccard-pages")
+    pages = tiled.join(index.column("rep", counts="c_rep"), "rep").groupBy("branch", "block", "page").agg(
         F.min("n_rep").alias("n_least"), F.max("n_rep").alias("n_most"), F.min("own").alias("own_least"),
         F.array(*[F.max(F.col("c_rep")[i]) for i in range(GROUPS)]).alias("c_page"),
     )
-    near = F.expr(f"100 * n_o >= {percent} * n_least and 100 * n_most >= {percent} * n_o")
+    near = F.expr(f"100 * n_rep >= {percent} * n_least and 100 * n_most >= {percent} * n_rep")
+    outer = ["n_rep", "own", "component", "led"]
     visits = (
-        _outside(listed).join(index.column("o", counts="c_o"), "o").join(pages, "branch").filter(near)
-        .filter(f"{100 + percent} * (own_o + own_least) <= {100 - percent} * (n_o + n_most)")
-        .filter(_bounded("c_o", "c_page", "n_o", "n_least", percent))
-        .select("branch", "tile", "o", "outer", "n_o", "own_o", "led_o", "c_o")
+        tiled.filter("component != branch").select("branch", "rep", "part", *outer)
+        .join(index.column("rep", counts="c_rep"), "rep").join(pages, "branch").filter(near)
+        .filter(f"{100 + percent} * (own + own_least) <= {100 - percent} * (n_rep + n_most)")
+        .filter(_bounded("c_rep", "c_page", "n_rep", "n_least", percent))
+        .groupBy(F.col("branch").alias("family"), F.col("block").alias("lo"), F.col("part").alias("hi"), "rep", *outer)
+        .agg(F.collect_list("page").alias("pages"))
     )
-    met = visits.join(tiled, ["branch", "tile"]).filter(_DESCENDS).filter(_fits("n_o", "n_rep", percent))
-    met = met.filter(f"{100 + percent} * (own_o + own) <= {100 - percent} * (n_o + n_rep)")
-    return met.filter(_bounded("c_o", "c_rep", "n_o", "n_rep", percent)).select("o", "rep")
+    visits = materialise(visits, "jaccard-visits")
+    visited = visits.select(*_TILE).distinct()
+    members = tiled.select(F.col("branch").alias("family"), F.col("block").alias("lo"), "rep", *outer, F.array("page").alias("pages"))
+    members = members.join(visited, ["family", "lo"])
+    rows = members.withColumn("visits", F.lit(False)).unionByName(visits.withColumn("visits", F.lit(True)))
+    rows = materialise(rows, "jaccard-visited")
+
+    def compare(sets: pa.Table, here: pa.Table) -> pa.Table:
+        lists = sets.column("shingles").combine_chunks()
+        ends, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+        place = {rep: i for i, rep in enumerate(sets.column("rep").to_pylist())}
+        shingles = lambda rep: values[ends[place[rep]] : ends[place[rep] + 1]].view(np.uint64)
+        rows = here.to_pylist()
+        held = [r for r in rows if not r["visits"]]
+        rep, n, own, component, led = (np.array([r[c] for r in held]) for c in ("rep", *outer))
+        page = np.array([r["pages"][0] for r in held])
+        owner = np.repeat(np.arange(len(held)), [len(shingles(r)) for r in rep.tolist()])
+        every = np.concatenate([shingles(r) for r in rep.tolist()])
+        a, b = [], []
+        for r in rows:
+            if not r["visits"]:
+                continue
+            # Of two sets outside the largest component one descends, and it meets only other components.
+            ask = np.isin(page, r["pages"]) & (component != r["component"]) & ~(led & r["led"])
+            ask &= (component == r["family"]) | (rep > r["rep"])
+            ask &= 100 * np.minimum(n, r["n_rep"]) >= percent * np.maximum(n, r["n_rep"])
+            ask &= (100 + percent) * (own + r["own"]) <= (100 - percent) * (n + r["n_rep"])
+            if not ask.any():
+                continue
+            mine = shingles(r["rep"])
+            asked = ask[owner]
+            found = every[asked]
+            at = np.minimum(np.searchsorted(mine, found), len(mine) - 1)
+            shared = np.bincount(owner[asked][mine[at] == found], minlength=len(held))
+            for other in rep[ask & (100 * shared >= percent * (n + r["n_rep"] - shared))].tolist():
+                a.append(max(other, r["rep"]))
+                b.append(min(other, r["rep"]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    sets = _sets_of_tiles(rows.select(*_TILE, "rep").distinct(), index.stands, index.docs, index.k)
+    links = sets.groupBy(*_TILE).cogroup(rows.groupBy(*_TILE)).applyInArrow(compare, "a bigint, b bigint")
+    return materialise(links, "jaccard-links-pages")
