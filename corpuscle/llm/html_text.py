@@ -70,8 +70,8 @@ FEATURES = (
     "in_main", "beside", "heading", "page_has_main",
 )
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[a-zA-Z/][^>]*(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([^\s=/\"'>]+)")
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)|<[a-zA-Z/][^>]*(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*))|([^\s=/\"'>]+)")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -205,7 +205,7 @@ def blocks(page: str | None) -> list[Block]:
     text: list[str] = []
     links: list[str] = []
     link_depth = 0
-    heading = False
+    heading = endless_head = False
     at = 0
     page = page or ""
 
@@ -236,10 +236,13 @@ def blocks(page: str | None) -> list[Block]:
         if tag in RAW:
             if tag not in ("svg", "math", "embed"):
                 flush()
+            if tag == "head" and endless_head:
+                continue
             if not closing and tag not in VOID and not match[3].rstrip().endswith("/"):
                 stop = re.compile(rf"</{re.escape(tag)}\s*>" + (r"|<body\b|</head" if tag in ("head", "title") else ""), re.I).search(page, at)
                 # Text after an unclosed element isn't text of the page; a head ends where the body begins.
                 if tag == "head" and stop is None:
+                    endless_head = True
                     continue
                 at = len(page) if stop is None else (stop.start() if stop[0].lower().startswith("<body") else stop.end())
             continue

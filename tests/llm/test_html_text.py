@@ -86,3 +86,14 @@ NAMED += [
 
 def test_names_around_main_text(tree):
     assert [html_text.main_text(page, tree) for page, _ in NAMED] == [text for _, text in NAMED]
+
+
+def test_quotes_delimit_after_an_equals_sign_only():
+    page = "<article><p title=it's>Hello world this is a paragraph.</p><p>I don't go, said the man, and \"stayed\" there.</p></article>"
+    assert [b.text for b in html_text.blocks(page)] == ["Hello world this is a paragraph.", "I don't go, said the man, and \"stayed\" there."]
+    quoted = "<article><p title = 'a > b' data-x=\"c > 'd\">One.</p></article>"
+    assert [b.text for b in html_text.blocks(quoted)] == ["One."]
+
+
+def test_unclosed_heads_are_read_once():
+    assert html_text.blocks("<head>" * 50_000 + "<p>Text.</p>")[0].text == "Text."
