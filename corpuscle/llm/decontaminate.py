@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from corpuscle.llm import hashing
+from corpuscle.llm.memory import giving_back
 from corpuscle.sources.shared import materialise
 
 ERRORS_PERCENT = 20
@@ -207,7 +208,7 @@ def find_hits(
                 columns = list(zip(*rows, strict=True)) or [()] * len(_HIT_TYPES)
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, _HIT_TYPES, strict=True)], names=[c.split()[0] for c in HITS.split(", ")])
 
-        return narrow.mapInArrow(scan, HITS)
+        return narrow.mapInArrow(giving_back(scan), HITS)
 
     parts = [hits(items) for items in item_blocks(benchmark, errors_percent, item_key, item_text, block_words, short_within)]
     return reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], HITS)

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from corpuscle.llm import hashing
 from corpuscle.llm.components import components
+from corpuscle.llm.memory import giving_back
 from corpuscle.sources.shared import materialise, small_side
 
 WORDS = 5
@@ -115,7 +116,7 @@ def frequent_shingles(docs: DataFrame, k: int = WORDS, at_most: int = FREQUENT,
         keys = np.fromiter(seen.keys(), dtype=np.uint64, count=len(seen)).view(np.int64)
         yield pa.record_batch([pa.array(keys), pa.array(list(seen.values()), pa.int64())], names=["shingle", "n"])
 
-    counted = docs.select("text").mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(giving_back(count), "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
     # At most ``at_most`` numbers.
     found = counted.filter(F.col("n") >= at_least).orderBy(F.desc("n"), "shingle").limit(at_most).select("shingle").toArrow()
     return found.column(0).to_numpy()[::-1].astype(np.int64).view(np.uint64)
@@ -175,7 +176,7 @@ def points(docs: DataFrame, frequent: np.ndarray, k: int, percent: int) -> DataF
                     schema=_POINTS_ARROW,
                 )
 
-    return docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text").mapInArrow(scan, _POINTS)
+    return docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text").mapInArrow(giving_back(scan), _POINTS)
 
 
 def _fits(a: str, b: str, percent: int) -> Column:
@@ -212,7 +213,7 @@ def _shingles(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
                 yield pa.record_batch([pa.array(reps, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], schema=schema)
 
     texts = docs.join(small_side(asked, "jaccard-asked-shingles", COPIED_ROWS), "doc_id").select("text", "asked")
-    return texts.mapInArrow(expand, "rep bigint, shingles array<bigint>")
+    return texts.mapInArrow(giving_back(expand), "rep bigint, shingles array<bigint>")
 
 
 _TILE = ["family", "lo", "hi"]
@@ -245,7 +246,7 @@ def _sets_of_tiles(wanted: DataFrame, stands: DataFrame, docs: DataFrame, k: int
                 yield pa.record_batch([*keys, pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], schema=schema)
 
     texts = docs.join(small_side(asked, "jaccard-asked", COPIED_ROWS), "doc_id").select("text", "asked")
-    return texts.mapInArrow(expand, columns)
+    return texts.mapInArrow(giving_back(expand), columns)
 
 
 def _verified(pairs: DataFrame, stands: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:

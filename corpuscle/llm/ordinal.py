@@ -24,6 +24,7 @@ from pyspark.sql.functions import arrow_udf
 
 from corpuscle.llm import hashing
 from corpuscle.llm.labelled import labelled_sample
+from corpuscle.llm.memory import giving_back
 
 # Bounds of the fit: rated rows, and buckets of hashed features.
 TRAINING_ROWS = 8192
@@ -171,7 +172,7 @@ def fit(
                 )
 
     # Bounded: at most ``rows`` rows of at most ``BUCKETS`` small numbers each.
-    table = sample.select("text", "doc_id", "label").mapInArrow(collect, "doc_id bigint, grade int, buckets array<smallint>, values array<float>")
+    table = sample.select("text", "doc_id", "label").mapInArrow(giving_back(collect), "doc_id bigint, grade int, buckets array<smallint>, values array<float>")
     table = table.orderBy("doc_id").toArrow()
     grades = table.column("grade").to_numpy().astype(np.int64)
     if not len(grades):
@@ -201,7 +202,7 @@ def score(docs: DataFrame, model: Model, *, select: int = 1, keep_from: float =
             )
 
     narrow = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInArrow(run, "doc_id bigint, expected_grade double, tail double, keep boolean")
+    return narrow.mapInArrow(giving_back(run), "doc_id bigint, expected_grade double, tail double, keep boolean")
 
 
 def keep_good(docs: DataFrame, model: Model, *, select: int = 1, keep_from: float = 0.5, text: str = "text") -> DataFrame:

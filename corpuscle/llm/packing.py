@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuscle.llm.memory import giving_back
 from corpuscle.sources.shared import materialise
 
 CAPACITY = 2048
@@ -40,7 +41,7 @@ SMALL_SHARE = 1 / 8
 # Rows of one length that are ranked together, at least.
 RANKED_TOGETHER = 512
 # Words whose ids a task remembers, and the longest such word.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 REMEMBERED_CHARS = 40
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -136,7 +137,7 @@ def pieces(
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _PIECES_ARROW, strict=True)], schema=_PIECES_ARROW)
 
     narrow = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInArrow(cut, _PIECES)
+    return narrow.mapInArrow(giving_back(cut), _PIECES)
 
 
 class _Run:

@@ -25,6 +25,7 @@ from pyspark.sql.functions import arrow_udf
 
 from corpuscle.llm import hashing
 from corpuscle.llm.labelled import held_out, labelled_sample
+from corpuscle.llm.memory import giving_back
 from corpuscle.sources.shared import materialise
 
 # Bounds of the fit: labelled rows, screened features, mined voters.
@@ -126,7 +127,7 @@ def _sample_features(sample: DataFrame) -> DataFrame:
                     names=["doc_id", "label", "features", "patterns"],
                 )
 
-    return sample.select("doc_id", "text", "label").mapInArrow(scan, _SAMPLE)
+    return sample.select("doc_id", "text", "label").mapInArrow(giving_back(scan), _SAMPLE)
 
 
 def label_model(votes: np.ndarray, anchors: int, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
@@ -297,7 +298,7 @@ def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "te
             )
 
     narrow = docs.select(F.col(key).cast("bigint").alias("doc_id"), held_out(key).alias("held_out"), F.col(text).alias("text"))
-    return narrow.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
+    return narrow.mapInArrow(giving_back(run), "doc_id bigint, held_out boolean, score double, predicted int")
 
 
 def keep_clean(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
