@@ -209,6 +209,35 @@ def _replayed(flush: str, threshold: float = REPLAY_THRESHOLD) -> str:
 _FLUSH = "vec_id % 170 = 169"
 
 
+# Texts that come again, with thresholds of their own: a text keeps the place of its first entry,
+# and a hit answers with what was written to it last.
+_REPEATED = f"""WITH RECURSIVE {_VECTORS}, {_FORWARD},
+log AS (SELECT vec_id AS seq, {_FLUSH} AS flush, CASE WHEN vec_id % 2 = 1 THEN vec_id // 4 ELSE vec_id END AS wanted,
+    CASE vec_id % 5 WHEN 0 THEN {LOOSE_THRESHOLD} WHEN 1 THEN 1.0 ELSE {REPLAY_THRESHOLD} END AS threshold,
+    sum(CASE WHEN {_FLUSH} THEN 1 ELSE 0 END) OVER (ORDER BY vec_id) AS era FROM vecs),
+items AS MATERIALIZED (SELECT seq, era, flush, threshold, vec_id AS same, v, cluster,
+    row_number() OVER (PARTITION BY era, cluster, flush ORDER BY seq) AS place
+    FROM (SELECT log.*, coalesce(b.vec_id, seq) AS of FROM log LEFT JOIN vecs b ON b.vec_id = wanted)
+    JOIN vecs ON vec_id = of JOIN dom USING (vec_id)),
+near AS MATERIALIZED (SELECT a.seq, b.seq AS entry, a.same = b.same AS own, {_SCORE} AS score
+    FROM items a JOIN items b ON a.era = b.era AND a.cluster = b.cluster AND b.seq < a.seq WHERE NOT a.flush AND NOT b.flush),
+steps AS (
+    SELECT era, cluster, 0::BIGINT AS place, NULL::BIGINT AS seq, false AS hit, NULL::BIGINT AS entry, []::BIGINT[] AS live
+    FROM (SELECT DISTINCT era, cluster FROM items) bucket
+    UNION ALL
+    SELECT era, cluster, place, seq, score >= threshold, CASE WHEN score >= threshold THEN entry ELSE coalesce(own, seq) END,
+        CASE WHEN score >= threshold OR own IS NOT NULL THEN live ELSE list_append(live, seq) END
+    FROM (SELECT p.era, p.cluster, p.place, p.seq, p.threshold, s.live, n.entry, coalesce(n.score, -1.0) AS score,
+            max(CASE WHEN n.own THEN n.entry END) OVER (PARTITION BY p.seq) AS own
+        FROM steps s JOIN items p ON p.era = s.era AND p.cluster = s.cluster AND p.place = s.place + 1 AND NOT p.flush
+        LEFT JOIN near n ON n.seq = p.seq AND list_contains(s.live, n.entry)
+        QUALIFY row_number() OVER (PARTITION BY p.seq ORDER BY n.score DESC NULLS LAST, n.entry) = 1)),
+played AS MATERIALIZED (SELECT * FROM steps WHERE place > 0)
+SELECT p.seq, p.era::BIGINT AS era, p.cluster AS dominant_cluster, p.hit AS cache_hit, p.entry AS entry_seq,
+    max(CASE WHEN p.hit THEN w.seq ELSE p.seq END) AS source_seq
+FROM played p LEFT JOIN played w ON w.entry = p.entry AND NOT w.hit AND w.seq < p.seq GROUP BY ALL"""
+
+
 def _responses(flush: str) -> str:
     return f"""{_replayed(flush)}, {_KNN}, {_STRIPPED_DOCS},
 lists AS (SELECT seq, string_agg({_HIT}, '|' ORDER BY id) AS hits FROM
@@ -274,6 +303,8 @@ FROM vecs JOIN centres ON cluster = label""",
         "knn_top5": f"""WITH {_VECTORS}, {_KNN}
 SELECT seq, doc_id, id::INTEGER AS id, {_round('score', 4)} AS similarity FROM best WHERE id <= {TOP_N}""",
         "knn_blocked": f"""WITH {_VECTORS}, {_KNN}
+SELECT seq, doc_id, id::INTEGER AS id, {_round('score', 4)} AS similarity FROM best WHERE id <= {TOP_N}""",
+        "knn_certified": f"""WITH {_VECTORS}, {_KNN}
 SELECT seq, doc_id, id::INTEGER AS id, {_round('score', 4)} AS similarity FROM best WHERE id <= {TOP_N}""",
         "knn_pruned": f"""WITH {_VECTORS}, {_FORWARD},
 probes AS (SELECT vec_id, cluster FROM u
@@ -343,8 +374,7 @@ SELECT (SELECT count(*) FROM vecs) AS total_entries, hit_count, miss_count,
     round(5 / 13.0, 4)::DOUBLE AS hit_rate, {CACHE_THRESHOLD}::DOUBLE AS threshold FROM embeddings""",
         "cache_replay": f"""{_replayed('false')}
 SELECT seq, cluster AS dominant_cluster, hit AS cache_hit, source AS source_seq FROM played""",
-        "cache_replay_chunked": f"""{_replayed('false')}
-SELECT seq, cluster AS dominant_cluster, hit AS cache_hit, source AS source_seq FROM played""",
+        "cache_replay_chunked": _REPEATED,
         "cache_replay_flushed": f"""{_replayed(_FLUSH)}
 SELECT seq, era, cluster AS dominant_cluster, hit AS cache_hit, source AS source_seq FROM played""",
         "replay_stats": f"""{_replayed(_FLUSH)}, counted AS (SELECT count(*) FILTER (WHERE hit) AS hit_count,

@@ -52,7 +52,7 @@ LOOSE_THRESHOLD = 0.2
 REPLAY_THRESHOLD = 0.25
 SWEEP_THRESHOLDS = (0.20, 0.25, 0.30, 0.35, 0.40)
 TOP_N = 5
-NPROBE = 3
+NPROBE = 8
 SAMPLED = 100
 
 
@@ -352,11 +352,11 @@ def collection_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def hashed_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hashed unit vectors of all documents and user turns."""
+    """Hashed unit vectors of all documents and turns."""
     docs = documents(spark, sf_dir).select(
         F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "text"
     )
-    turns = table(spark, sf_dir, "conversations").filter("role = 'user'").select(
+    turns = table(spark, sf_dir, "conversations").select(
         F.concat_ws("-", F.lit("c"), "conv_id", "turn").alias("id"), "text"
     )
     embedded = encode.embed(docs.unionByName(turns))
@@ -428,6 +428,21 @@ def knn_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("seq", "doc_id", "id", F.round("score", 4).alias("similarity"))
 
 
+@register
+def knn_certified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact search over a collection partitioned by cluster, which skips what no bound lets in."""
+    found, _ = certified(spark, sf_dir)
+    return found.select("seq", "doc_id", "id", F.round("score", 4).alias("similarity"))
+
+
+def certified(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    middle = centres(spark, sf_dir)
+    rows = cache.assign_clusters(table(spark, sf_dir, "embeddings"), middle, "embedding")
+    rows = rows.select(F.col("vec_id").alias("doc_id"), "embedding", "dominant_cluster")
+    docs = materialise(rows, "clusters", ["dominant_cluster"])
+    return search.nearest_documents_certified(docs, _self_queries(spark, sf_dir), middle, TOP_N)
+
+
 @register
 def knn_result_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits with category and text, one row per query."""
@@ -676,13 +691,32 @@ def cache_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flushed log, in which half of the rows repeat an earlier one's text and vector, with thresholds of their own."""
+    rows = query_log(spark, sf_dir, flushes=True).drop("threshold")
+    earlier = rows.select(F.col("seq").alias("_of"), *[F.col(c).alias(f"_{c}") for c in ("query", "vector")])
+    vectors_of = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("_of"), F.col("embedding").alias("_vector"))
+    earlier = earlier.drop("_vector").join(vectors_of, "_of").withColumn("_query", F.concat(F.lit("query "), "_of"))
+    rows = rows.withColumn("_of", F.when(F.col("seq") % 2 == 1, F.floor(F.col("seq") / 4)).otherwise(F.col("seq")))
+    own = F.when(F.col("seq") % 5 == 0, F.lit(LOOSE_THRESHOLD)).when(F.col("seq") % 5 == 1, F.lit(1.0))
+    played = F.col("op") == "query"
+    return rows.join(earlier, "_of", "left").select(
+        "seq",
+        "op",
+        F.when(played, F.coalesce("_query", "query")).alias("query"),
+        F.when(played, F.coalesce("_vector", "vector")).alias("vector"),
+        own.alias("threshold"),
+        "n_results",
+    )
+
+
 @register
 def cache_replay_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same log in chunks: entries of earlier chunks answer later ones."""
+    """A log of repeated texts, own thresholds and flushes in chunks: earlier chunks' entries answer later ones."""
     played = replay.replay_log(
-        query_log(spark, sf_dir), centres(spark, sf_dir), threshold=REPLAY_THRESHOLD, chunk_rows=64
+        repeated_log(spark, sf_dir), centres(spark, sf_dir), threshold=REPLAY_THRESHOLD, chunk_rows=256
     )
-    return played.decisions.select("seq", "dominant_cluster", "cache_hit", "source_seq")
+    return played.decisions.select("seq", "era", "dominant_cluster", "cache_hit", "entry_seq", "source_seq")
 
 
 @register

@@ -185,20 +185,37 @@ def test_replay_equals_serial_loop(spark, centres, chunk_rows, flush):
 @pytest.mark.parametrize("own", [(0.2, 0.3), (0.2, 0.3, 0.3, 0.3, 1.0)])
 def test_rounds_grow_while_the_cache_answers(spark, centres, own, limits, monkeypatch):
     widths = []
-    parallel = replay._mostly_parallel
+    decided = replay._decided
 
     def counted(matched, **given):
         widths.append(matched.count())
-        return parallel(matched, **given)
+        return decided(matched, **given)
 
-    monkeypatch.setattr(replay, "_mostly_parallel", counted)
+    monkeypatch.setattr(replay, "_decided", counted)
     rows = _log(n=240, own=own, flush=(70,))
     played = replay.replay_log(log_rows(spark, rows), centres, threshold=0.5, chunk_rows=24, **limits)
     assert _outcome(played) == serial_replay(rows, centres, 0.5)
     assert widths and max(widths) > 24
 
 
-@pytest.mark.parametrize("chunk_rows", [1, 2, 37, 1000])
+@pytest.mark.parametrize("settle_rows", [0, 30])
+def test_waiting_rows_settle_in_rounds(spark, centres, settle_rows, monkeypatch):
+    monkeypatch.setattr(replay, "_SETTLE_ROWS", settle_rows)
+    monkeypatch.setattr(replay, "_BLOCK", 7)
+    rows = _log(flush=(50, 119))
+    played = replay.replay_log(log_rows(spark, rows), centres, threshold=0.5)
+    assert _outcome(played) == serial_replay(rows, centres, 0.5)
+
+
+def test_a_chain_of_rows_each_like_the_one_before(spark):
+    # Every second row opens; no other order of decisions gives that.
+    angles = [0.3 * i for i in range(12)]
+    rows = [(i, "query", f"q{i}", np.array([np.cos(a), np.sin(a)]), None, 5) for i, a in enumerate(angles)]
+    played = replay.replay_log(log_rows(spark, rows), np.array([[0.0, 0.0]]), threshold=0.9)
+    assert sorted(r["seq"] for r in played.decisions.filter("NOT cache_hit").collect()) == [0, 2, 4, 6, 8, 10]
+
+
+@pytest.mark.parametrize("chunk_rows", [2, 37, 1000])
 def test_entries_do_not_depend_on_chunks(spark, centres, chunk_rows):
     # Two texts with equal vectors: a text that is no best match still keeps its place.
     v, w = unit(5), unit(6)

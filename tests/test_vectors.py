@@ -118,3 +118,31 @@ def test_dense_index_over_many_ranges(spark):
 def test_matrix_refuses_rows_that_are_none(rows):
     with pytest.raises(ValueError):
         vc.matrix(pa.array(rows, pa.list_(pa.float64())))
+
+
+@pytest.mark.parametrize("spread", [0.05, 0.4, 3.0])
+def test_certified_search_is_exact(spark, spread):
+    rng = np.random.default_rng(3)
+    middle = unit_rows(8, 1)
+    own = rng.integers(0, 7, 400)  # one cluster stays empty
+    own[100:150] = own[0]
+    rows = middle[own] + spread * rng.normal(size=(400, middle.shape[1]))
+    rows = (rows / np.linalg.norm(rows, axis=1, keepdims=True)).astype(np.float32).astype(float)
+    rows[100:150] = rows[0]  # ties go to the smaller id
+    docs = vector_rows(spark, rows, "doc_id").withColumn("dominant_cluster", F.element_at(F.array(*[F.lit(int(c)) for c in own]), F.col("doc_id").cast("int") + 1))
+    queries = vector_rows(spark, rows[::9], "seq", "vector")
+    exact = search.nearest_documents(docs, queries, 5)
+    found, read = search.nearest_documents_certified(docs, queries, middle, 5)
+    assert sorted(map(tuple, found.select("seq", "doc_id", "id").collect())) == sorted(map(tuple, exact.select("seq", "doc_id", "id").collect()))
+    visited = [r["clusters_read"] for r in read.collect()]
+    assert len(visited) == queries.count() and max(visited) <= 7
+    if spread < 0.1:
+        assert sum(visited) <= 3 * len(visited)
+
+
+def test_certified_search_without_rows(spark):
+    docs = vector_rows(spark, unit_rows(4, 1), "doc_id").withColumn("dominant_cluster", F.lit(0))
+    queries = vector_rows(spark, unit_rows(2, 2), "seq", "vector")
+    for d, q, hits, reads in ((docs.limit(0), queries, 0, 2), (docs, queries.limit(0), 0, 0), (docs, queries, 8, 2)):
+        found, read = search.nearest_documents_certified(d, q, unit_rows(1, 3), 5)
+        assert (found.count(), read.count()) == (hits, reads)
