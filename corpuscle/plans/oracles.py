@@ -376,6 +376,8 @@ SELECT (SELECT count(*) FROM vecs) AS total_entries, hit_count, miss_count,
 SELECT seq, cluster AS dominant_cluster, hit AS cache_hit, source AS source_seq FROM played""",
         "cache_replay_chunked": _REPEATED,
         "cache_replay_flushed": f"""{_replayed(_FLUSH)}
+SELECT seq, era, cluster AS dominant_cluster, hit AS cache_hit, source AS source_seq FROM played""",
+        "stream_replay_keyed": f"""{_replayed(_FLUSH)}
 SELECT seq, era, cluster AS dominant_cluster, hit AS cache_hit, source AS source_seq FROM played""",
         "replay_stats": f"""{_replayed(_FLUSH)}, counted AS (SELECT count(*) FILTER (WHERE hit) AS hit_count,
     count(*) FILTER (WHERE NOT hit) AS miss_count FROM played WHERE era = (SELECT max(era) FROM log))

@@ -40,6 +40,7 @@ from corpuscle.plans.pipeline import run_build
 from corpuscle.session import ship_package
 from corpuscle.sources import articles, cache_store, tables
 from corpuscle.sources.shared import fresh_path, materialise, spread
+from corpuscle.streaming import keyed_stream
 from corpuscle.streaming.query_stream import QueryStream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -817,6 +818,25 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def stream_replay_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flushed log as a stream of eight files through keyed state, with a restart after four of them."""
+    rows = query_log(spark, sf_dir, flushes=True)
+    source, root = fresh_path(spark, "keyed-log"), fresh_path(spark, "keyed-stream")
+    middle = centres(spark, sf_dir)
+    low, high = rows.agg(F.min("seq"), F.max("seq")).first()
+    edges = [low + (high - low) * i // 8 for i in range(8)] + [high + 1]
+    for number, (start, end) in enumerate(itertools.pairwise(edges)):
+        rows.filter((F.col("seq") >= start) & (F.col("seq") < end)).coalesce(1).write.mode("append").parquet(source)
+        if number % 4 == 3:
+            log = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+            played = keyed_stream.keyed_decisions(log, middle, REPLAY_THRESHOLD)
+            writer = played.writeStream.format("parquet").option("path", f"{root}/decisions")
+            writer.option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start().awaitTermination()
+    decisions = spark.read.schema(keyed_stream.DECISIONS).parquet(f"{root}/decisions")
+    return decisions.select("seq", "era", "dominant_cluster", "cache_hit", "source_seq")
+
+
 @register
 def validate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid and rejected requests, with the reason."""
