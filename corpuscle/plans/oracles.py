@@ -293,6 +293,17 @@ FROM embeddings LEFT JOIN documents ON vec_id = doc_id""",
         "build_tables": f"""WITH {_USABLE}
 SELECT doc_id, category, row_number() OVER (ORDER BY doc_seq) - 1 AS doc_index, 4 AS n_clusters FROM usable""",
         "collection_count": "SELECT count(*) AS n FROM embeddings",
+        "weighted_embed": f"""
+WITH texts AS (SELECT *, row_number() OVER () AS row FROM (
+    SELECT 'd' || doc_id AS id, text, true AS counted FROM documents
+    UNION ALL SELECT 'c-' || conv_id || '-' || turn, text, false FROM conversations)),
+words AS (SELECT id, row, counted, unnest(regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+')) AS word FROM texts),
+cells AS MATERIALIZED (SELECT id, row, counted, (('0x' || substr(md5(word), 1, 8))::BIGINT % 384)::INTEGER AS bucket, count(*) AS n
+    FROM words GROUP BY ALL),
+weights AS (SELECT bucket, ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) FILTER (WHERE counted) + 1.0)) AS weight
+    FROM cells GROUP BY bucket),
+weighted AS (SELECT id, row, bucket, n * weight AS x FROM cells JOIN weights USING (bucket))
+SELECT id, bucket, {_round('x / sqrt(sum(x * x) OVER (PARTITION BY row))', 6)} AS weight FROM weighted WHERE x <> 0""",
         "l2_normalize": f"""WITH {_VECTORS}, scaled AS (SELECT vec_id, pos, x * (vec_id % 7) AS x FROM cells),
 norms AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM scaled GROUP BY vec_id)
 SELECT vec_id, (pos - 1)::INTEGER AS pos, {_round('CASE WHEN n > 0 THEN x / n ELSE 0.0 END', 6)} AS value

@@ -34,6 +34,7 @@ from corpuscle.operators import (
     requests,
     search,
     silhouette,
+    term_model,
     thresholds,
 )
 from corpuscle.plans.pipeline import run_build
@@ -368,6 +369,18 @@ def hashed_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def weighted_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and turns under term weights that were fitted on the documents and stored."""
+    docs = documents(spark, sf_dir).select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "text")
+    path = fresh_path(spark, "terms")
+    term_model.save(spark, term_model.fit(docs), path)
+    turns = table(spark, sf_dir, "conversations").select(F.concat_ws("-", F.lit("c"), "conv_id", "turn").alias("id"), "text")
+    embedded = term_model.embed(docs.unionByName(turns), term_model.load(spark, path))
+    cells = embedded.select("id", F.posexplode("embedding").alias("bucket", "weight")).filter("weight <> 0")
+    return cells.select("id", "bucket", F.round("weight", 6).alias("weight"))
+
+
 @register
 def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors stretched by a factor (zero for some), brought back to unit length."""
