@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscle.llm import codes, conversations, decontaminate, exact_dedup, html_text, jaccard, licenses, ordinal, packing, topk, toxicity, urls, warc
+from corpuscle.session import ship_package
 from corpuscle.sources.shared import fresh_path
 
 
@@ -102,4 +103,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op13_digest_runs,
         pipeline,
     )
-    return {query.__name__: query for query in found}
+
+    def ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return query(spark, sf_dir)
+
+        return run
+
+    return {query.__name__: ready(query) for query in found}
