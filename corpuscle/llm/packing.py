@@ -10,8 +10,10 @@ rows, however many documents there are. The plan is made on the histogram:
    ``groups`` groups of equal cardinality, each rounded up to its longest;
 2. configurations of the few rounded sizes are chosen: the largest size left,
    completed by the fullest multiset of the others, as often as stock allows;
-3. actual lengths take the places of the rounded ones;
-4. small lengths go, longest first, to the fullest sequence that still fits.
+3. actual lengths take the places of the rounded ones; a sequence that they
+   don't fill to the last id is taken apart again;
+4. these lengths and the small ones go, longest first, to the fullest sequence
+   that still fits.
 
 The plan is a list of intervals (length, first rank, number, first sequence,
 offset) whose number depends on ``capacity`` and ``groups`` only. Pieces are
@@ -36,7 +38,7 @@ from corpuscle.llm.memory import giving_back
 from corpuscle.sources.shared import materialise
 
 CAPACITY = 2048
-GROUPS = 64
+GROUPS = 1024
 SMALL_SHARE = 1 / 8
 # Rows of one length that are ranked together, at least.
 RANKED_TOGETHER = 512
@@ -272,10 +274,13 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS,
     limit = int(capacity * small_share)
     large = {k: n for k, n in counts.items() if k > limit}
     by_room: list[list[_Run]] = [[] for _ in range(capacity + 1)]
+    loose = [(length, 0, n) for length, n in counts.items() if length <= limit]
     for run in _configured(_grouped(large, groups), capacity):
-        by_room[run.room].append(run)
-    for length in sorted((k for k in counts if k <= limit), reverse=True):
-        left, rank = counts[length], 0
+        if run.room:
+            loose += [(length, rank, run.n) for length, rank in run.held]
+        else:
+            by_room[run.room].append(run)
+    for length, rank, left in sorted(loose, key=lambda piece: (-piece[0], piece[1])):
         for room in range(length, capacity + 1):
             fit = room // length
             # What a run gains leaves it less than ``length``, so it isn't met again.

@@ -23,12 +23,44 @@ def _check_plan(counts, capacity, **options):
     return sum(run.n for run in runs)
 
 
-@pytest.mark.parametrize("seed", range(8))
-def test_plan_places_all_pieces_once(seed):
+def _best_fit_decreasing(counts, capacity):
+    """Sequences that plain best fit, longest piece first, makes."""
+    with_room = [0] * (capacity + 1)
+    used = 0
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            room = next((r for r in range(length, capacity + 1) if with_room[r]), None)
+            if room is None:
+                used, room = used + 1, capacity
+            else:
+                with_room[room] -= 1
+            with_room[room - length] += 1
+    return used
+
+
+def _histogram(seed):
     rng = random.Random(seed)
-    counts = Counter(min(256, max(1, int(rng.lognormvariate(rng.choice([2, 4]), 1)))) for _ in range(rng.choice([1, 30, 2000])))
-    used = _check_plan(dict(counts), 256, groups=rng.choice([1, 5, 64]))
-    assert used <= packing.lower_bound(counts, 256) * 1.12 + 2
+    n = rng.choice([1, 30, 2000, 8000])
+    if seed % 2:
+        return dict(Counter(rng.randint(rng.choice([1, 60]), 256) for _ in range(n)))
+    mu = rng.choice([2, 4])
+    return dict(Counter(min(256, max(1, int(rng.lognormvariate(mu, 1)))) for _ in range(n)))
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_plan_places_all_pieces_once(seed):
+    counts = _histogram(seed)
+    plain = _best_fit_decreasing(counts, 256)
+    assert _check_plan(counts, 256) <= plain
+    for groups in (1, 5, 64):
+        assert _check_plan(counts, 256, groups=groups) <= plain * 1.02 + 2
+
+
+def test_configurations_hold_most_of_what_fits_exactly():
+    counts = {100: 500, 156: 500, 60: 300, 136: 150, 3: 7}
+    runs = packing.plan(counts, 256)
+    assert sum(run.n for run in runs if not run.room) == 650
+    assert sum(run.n for run in runs) == _best_fit_decreasing(counts, 256) == packing.lower_bound(counts, 256)
 
 
 def test_plan_edges():
@@ -72,8 +104,8 @@ def test_pack_against_whole_texts(spark):
             assert offset == at
             at += length
         assert at <= 128
-    bound = packing.lower_bound(Counter(r["length"] for r in got), 128)
-    assert bound <= len(inside) <= bound * 1.1 + 2
+    lengths = Counter(r["length"] for r in got)
+    assert packing.lower_bound(lengths, 128) <= len(inside) <= _best_fit_decreasing(lengths, 128)
 
 
 def test_empty_table(spark):
