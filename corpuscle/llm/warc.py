@@ -1,9 +1,10 @@
 """WARC archives as a table of chunks.
 
 A page becomes one or more records: payloads longer than a chunk are segmented
-as WARC 1.1 provides (a ``response`` and its ``continuation`` records), so
-writer and reader hold a chunk at a time, never an oversized record. Chunk rows
-are (page, chunk number) and the reader carries the digest from chunk to chunk.
+as WARC 1.1 provides (a ``response`` and its ``continuation`` records). Chunk
+rows are (page, chunk number); writer and reader carry the digest from chunk to
+chunk. The writer takes chunks out of the payload where it lies, in one pass; the
+reader holds a chunk at a time, never an oversized record.
 
 Archives are written by Spark's text writer with the record separator as line
 separator, one gzip file per input partition, and read by its text reader, so
@@ -16,15 +17,21 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuscle.sources.shared import small_side
+from corpuscle.llm.memory import giving_back
+from corpuscle.llm.skew import attach
+from corpuscle.sources.shared import SMALL_ROWS, materialise, small_side
 
 # Characters of a chunk, and bytes from which equal payloads are stored once.
 CHUNK_CHARS = 262_144
 REVISIT_BYTES = 1000
+# Bytes of chunks, and chunks, that the writer gives on together.
+WRITTEN_BYTES = 1 << 22
+WRITTEN_ROWS = 4096
 
 SEPARATOR = "\r\n\r\n"
 REST = b"\r\n"
@@ -42,6 +49,18 @@ _CHUNKS_ARROW = pa.schema(
     ]
 )
 
+_CUT = (
+    "page_id bigint, url string, n_bytes bigint, digest string, refers_to bigint, chunk_no int, chunk binary, "
+    "bytes_so_far bigint, digest_so_far string, last boolean"
+)
+_CUT_ARROW = pa.schema(
+    [
+        ("page_id", pa.int64()), ("url", pa.string()), ("n_bytes", pa.int64()), ("digest", pa.string()),
+        ("refers_to", pa.int64()), ("chunk_no", pa.int32()), ("chunk", pa.binary()), ("bytes_so_far", pa.int64()),
+        ("digest_so_far", pa.string()), ("last", pa.bool_()),
+    ]
+)
+
 
 def _payloads(pages: DataFrame, key: str, payload: str, url: str) -> DataFrame:
     body = F.coalesce(F.col(payload), F.lit(""))
@@ -57,14 +76,68 @@ def _payloads(pages: DataFrame, key: str, payload: str, url: str) -> DataFrame:
 def revisits(payloads: DataFrame, at_least: int = REVISIT_BYTES) -> DataFrame:
     """``page_id, digest, refers_to`` of pages whose payload a page with a larger id has too."""
     ids = payloads.select("page_id", "digest", "n_bytes").filter((F.col("n_bytes") >= at_least) & F.col("page_id").isNotNull())
-    shared = (
+    shared = materialise(
         ids.groupBy("digest")
-        .agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least"))
+        .agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least"), F.count("*").alias("n"))
         .filter(F.col("least") < F.col("refers_to"))
-        .drop("least")
+        .drop("least"),
+        "warc-shared",
     )
-    found = ids.join(small_side(shared, "warc-shared"), "digest").filter(F.col("page_id") < F.col("refers_to"))
-    return found.select("page_id", "digest", "refers_to").distinct()
+    if shared.count() <= SMALL_ROWS:
+        found = ids.join(F.broadcast(shared), "digest")
+    else:
+        found = attach(materialise(ids, "warc-ids"), shared, ["digest"], "n")
+    return found.filter(F.col("page_id") < F.col("refers_to")).select("page_id", "digest", "refers_to").distinct()
+
+
+def _end_of_chunk(data: memoryview, at: int, chars: int) -> int:
+    """Where the chunk of ``chars`` characters that begins at ``at`` ends."""
+    window = np.frombuffer(data[at : at + 4 * chars + 1], np.uint8)
+    begins = np.flatnonzero((window & 0xC0) != 0x80)
+    return at + int(begins[chars]) if len(begins) > chars else len(data)
+
+
+def chunk_rows(payloads: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+    """Chunk rows of a table of ``page_id, url, n_bytes, digest, refers_to, body``, in order.
+
+    ``bytes_so_far`` and ``digest_so_far`` are those of the payload up to the
+    chunk's end. A revisit is one empty chunk and has the digest it refers to. A
+    payload that doesn't end in its stated length and digest raises.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        held = 0
+
+        def given() -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True)) or [()] * len(_CUT_ARROW)
+            return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _CUT_ARROW, strict=True)], schema=_CUT_ARROW)
+
+        for batch in batches:
+            *known, bodies = batch.columns
+            for page, body in zip(zip(*(c.to_pylist() for c in known), strict=True), bodies, strict=True):
+                _, _, n_bytes, digest, refers_to = page
+                if refers_to is not None:
+                    rows.append((*page, 0, b"", n_bytes, digest, True))
+                    continue
+                data = memoryview(body.as_buffer())
+                so_far = hashlib.sha1()
+                at, number, last = 0, 0, False
+                while not last:
+                    end = _end_of_chunk(data, at, chunk_chars) if len(data) - at > chunk_chars else len(data)
+                    part, at, last = bytes(data[at:end]), end, end == len(data)
+                    so_far.update(part)
+                    rows.append((*page, number, part, at, so_far.hexdigest(), last))
+                    number, held = number + 1, held + len(part)
+                    if held >= WRITTEN_BYTES or len(rows) >= WRITTEN_ROWS:
+                        yield given()
+                        rows, held = [], 0
+                if (at, so_far.hexdigest()) != (n_bytes, digest):
+                    raise ValueError(f"the payload of page {page[0]} differs from its digest")
+        yield given()
+
+    known = payloads.select("page_id", "url", "n_bytes", "digest", "refers_to", "body")
+    return known.mapInArrow(giving_back(cut), _CUT)
 
 
 def records(
@@ -75,16 +148,16 @@ def records(
     rows = _payloads(pages, key, payload, url)
     rows = rows.join(small_side(revisits(rows, at_least), "warc-revisits"), ["page_id", "digest"], "left")
     again = F.col("refers_to").isNotNull()
-    n_chunks = F.when(again, 1).otherwise(F.greatest(F.lit(1), F.ceil(F.char_length("body") / chunk_chars))).cast("int")
-    rows = rows.withColumn("chunks", n_chunks).withColumn("chunk_no", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    chunk = F.when(again, "").otherwise(F.substring("body", F.col("chunk_no") * chunk_chars + 1, F.lit(chunk_chars)))
+    # A revisit's body stays where it is.
+    rows = chunk_rows(rows.withColumn("body", F.when(again, "").otherwise(F.col("body"))), chunk_chars)
+    chunk = F.col("chunk").cast("string")
     first = F.col("chunk_no") == 0
     block = F.concat(F.when(first, HTTP_HEADER).otherwise(""), chunk)
     name = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.lit(":"))
     line = lambda field, value, when=None: F.when(
         F.lit(True) if when is None else when, F.concat(F.lit(f"{field}: "), value)
     )
-    segmented = F.col("chunks") > 1
+    segmented = ~first | ~F.col("last")
     header = F.concat_ws(
         "\r\n",
         F.lit("WARC/1.1"),
@@ -98,7 +171,7 @@ def records(
         line("WARC-Profile", F.lit(REVISIT_PROFILE), again),
         line("WARC-Segment-Number", (F.col("chunk_no") + 1).cast("string"), segmented),
         line("WARC-Segment-Origin-ID", F.concat(name, F.lit("1>")), segmented & ~first),
-        line("WARC-Segment-Total-Length", F.col("n_bytes").cast("string"), segmented & (F.col("chunk_no") + 1 == F.col("chunks"))),
+        line("WARC-Segment-Total-Length", F.col("bytes_so_far").cast("string"), segmented & F.col("last")),
         line("Content-Type", F.when(first, "application/http; msgtype=response").otherwise("text/html")),
         line("Content-Length", F.octet_length(block).cast("string")),
     )

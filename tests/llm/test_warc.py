@@ -100,3 +100,26 @@ def test_damage_is_noticed(spark, tmp_path):
 
 def test_empty(spark, tmp_path):
     assert warc.round_trip(_pages(spark).limit(0), str(tmp_path / "w")).count() == 0
+
+
+def test_chunks_of_mixed_widths(spark):
+    body = "aé猫😀\n" * 900 + "z"
+    table = spark.createDataFrame([(1, "u", body), (2, "u", "ab"), (3, "u", ""), (4, None, None)], "page_id bigint, url string, html string")
+    payloads = warc._payloads(table, "page_id", "html", "url").selectExpr("*", "cast(null as bigint) as refers_to")
+    for chars in (1, 3, 4096):
+        rows = warc.chunk_rows(payloads, chars).orderBy("page_id", "chunk_no").collect()
+        for page, text in ((1, body), (2, "ab"), (3, ""), (4, "")):
+            parts = [text[at : at + chars] for at in range(0, len(text), chars)] or [""]
+            digest, total, expected = hashlib.sha1(), 0, []
+            for i, part in enumerate(parts):
+                digest.update(part.encode())
+                total += len(part.encode())
+                expected.append((i, part.encode(), total, digest.hexdigest(), i == len(parts) - 1))
+            got = [(r["chunk_no"], bytes(r["chunk"]), r["bytes_so_far"], r["digest_so_far"], r["last"]) for r in rows if r["page_id"] == page]
+            assert got == expected
+
+
+def test_many_shared_payloads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "SMALL_ROWS", 0)
+    got = warc.round_trip(_pages(spark), str(tmp_path / "w"), chunk_chars=300).collect()
+    assert Counter(map(tuple, got)) == Counter(_expected())
