@@ -6,12 +6,31 @@ Each stage works on what its predecessor kept and returns the columns of
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from corpuscle.llm import decontaminate, jaccard, ordinal, packing, toxicity
 from corpuscle.llm.queries import GRADES, grade
 from corpuscle.sources.shared import materialise
 
+# Bytes of text that Python workers get at a time, unless the session states its own bound.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES_DEFAULT = "4m"
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """``stage`` in a session whose batches are bounded by bytes, as its result is computed later."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if spark.conf.get(BATCH_BYTES, None) is None:
+            spark.conf.set(BATCH_BYTES, BATCH_BYTES_DEFAULT)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model predicts clean."""
@@ -41,11 +60,11 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("toxicity", reject_toxic),
-    ("quality classifier", reject_bad),
-    ("n-gram Jaccard join", keep_one_of_each),
-    ("benchmark decontamination", reject_contaminated),
-    ("best-fit packing", pack),
+    ("toxicity", in_small_batches(reject_toxic)),
+    ("quality classifier", in_small_batches(reject_bad)),
+    ("n-gram Jaccard join", in_small_batches(keep_one_of_each)),
+    ("benchmark decontamination", in_small_batches(reject_contaminated)),
+    ("best-fit packing", in_small_batches(pack)),
 ]
 
 # Classifiers, similarity groups and a tokenizer have no SQL form.
