@@ -10,6 +10,9 @@ candidate a local score, and the sum of local scores is its score.
    can only reach it if one local score reaches the cutoff's equal share.
 3. Entries that do are resolved exactly, and each task sends its best ``k``.
 
+Scores that may pass 53 bits join no list: the cutoff stays safe without them,
+and the third phase computes them in Python's whole numbers.
+
 Queries are taken in blocks of bounded size, each sent to the tasks that scan
 the candidates where they lie. No candidate is shuffled; a task sends at most
 ``k`` rows per query.
@@ -18,8 +21,10 @@ the candidates where they lie. No candidate is shuffled; a task sends at most
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 from functools import reduce
-from math import ceil
+from math import ceil, floor, isfinite
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +43,7 @@ SCORES_AT_ONCE = 1 << 20
 KEPT_AT_ONCE = 1 << 20
 
 _EXACT = float(1 << 53)
+_LONG = 1 << 63
 
 
 def usable(column: str) -> Column:
@@ -47,9 +53,10 @@ def usable(column: str) -> Column:
 
 
 def _matrix(vectors: pa.Array, scale: float, least_dim: int = 0) -> np.ndarray:
-    """Rows of whole numbers ``floor(scale * x)``, short vectors filled with zeros."""
+    """Rows of whole numbers ``floor(scale * x)``, short vectors filled with zeros; infinite beyond doubles."""
     lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
-    values = np.floor(scale * vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
+    with np.errstate(over="ignore"):
+        values = np.floor(scale * vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
     dim = max([least_dim, *lengths.tolist()])
     if len(lengths) and (lengths == dim).all():
         return values.reshape(len(lengths), dim)
@@ -58,28 +65,54 @@ def _matrix(vectors: pa.Array, scale: float, least_dim: int = 0) -> np.ndarray:
     return out
 
 
+def _whole(vector: list[float], scale: float) -> list[int]:
+    """``floor(scale * x)`` of every component, of any size."""
+    scaled = [scale * x for x in vector]
+    return [floor(y) if isfinite(y) else floor(Fraction(x) * Fraction(scale)) for x, y in zip(vector, scaled, strict=True)]
+
+
 class _Block:
     """Queries, their component ranges, and local scores of candidates."""
 
-    def __init__(self, ids: np.ndarray, matrix: np.ndarray, groups: int, scale: float):
-        self.ids, self.matrix, self.scale = ids, matrix, scale
-        self.cuts = np.linspace(0, matrix.shape[1], groups + 1).astype(int)
-        self.largest = float(np.abs(matrix).max(initial=0))
+    def __init__(self, ids: np.ndarray, vectors: pa.Array, groups: int, scale: float):
+        self.ids, self.vectors, self.scale = ids, vectors, scale
+        self.matrix = _matrix(vectors, scale)
+        self.cuts = np.linspace(0, self.matrix.shape[1], groups + 1).astype(int)
+        self.largest = np.abs(self.matrix).max(axis=1, initial=0)
 
-    def batches(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(ids, local scores by group, query and candidate); a query's own row scores minus infinity."""
+    def batches(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]]:
+        """(ids, local scores by group, query and candidate, places of scores that may pass 53 bits, vectors).
+
+        A query's own row and the scores at these places are minus infinity.
+        """
         step = max(1, SCORES_AT_ONCE // max(1, len(self.ids)))
         for batch in batches:
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 ids = part.column(0).to_numpy(zero_copy_only=False)
                 rows = _matrix(part.column(1), self.scale, self.matrix.shape[1])
-                dim = self.matrix.shape[1]
-                if self.largest * float(np.abs(rows).max(initial=0)) * max(1, rows.shape[1]) >= _EXACT:
-                    raise ValueError("components are too large for exact scores")
-                local = np.stack([self.matrix[:, a:b] @ rows[:, a:b].T for a, b in zip(self.cuts, self.cuts[1:], strict=False)]) if dim else np.zeros((len(self.cuts) - 1, len(self.ids), len(ids)))
                 own = self.ids[:, None] == ids[None, :]
-                yield ids, np.where(own, -np.inf, local)
+                largest = np.abs(rows).max(axis=1, initial=0)
+                left_out, wild = own, np.zeros((0, 2), np.int64)
+                if self.largest.max(initial=0) * largest.max(initial=0) * max(1, rows.shape[1]) >= _EXACT:
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        # Zero times infinity is not a number: such a pair isn't tame either.
+                        tame = self.largest[:, None] * largest[None, :] * max(1, rows.shape[1]) < _EXACT
+                    wild = np.argwhere(~tame & ~own)
+                    left_out = own | ~tame
+                with np.errstate(over="ignore", invalid="ignore"):
+                    local = np.stack(
+                        [self.matrix[:, a:b] @ rows[:, a : min(b, self.matrix.shape[1])].T for a, b in zip(self.cuts, self.cuts[1:], strict=False)]
+                    )
+                yield ids, np.where(left_out, -np.inf, local), wild, part.column(1)
+
+    def exact(self, wild: np.ndarray, vectors: pa.Array) -> Iterator[tuple[int, int, int]]:
+        """(query, candidate, score) at the places in ``wild``."""
+        rows = {int(c): _whole(vectors[int(c)].as_py(), self.scale) for c in np.unique(wild[:, 1])}
+        asked = {int(q): _whole(self.vectors[int(q)].as_py(), self.scale) for q in np.unique(wild[:, 0])}
+        for q, c in wild.tolist():
+            # The shorter vector ends the sum: what it lacks is zero.
+            yield q, c, sum(map(mul, asked[q], rows[c]))
 
 
 def _best(scores: np.ndarray, k: int) -> np.ndarray:
@@ -100,7 +133,7 @@ def _gather(candidates: DataFrame, block: _Block, k: int) -> tuple[np.ndarray, n
         totals = np.full((groups, n, 0), -np.inf)
         places = np.zeros((groups, n, 0), dtype=np.int64)
         seen = 0
-        for ids, local in block.batches(batches):
+        for ids, local, _, _ in block.batches(batches):
             total = local.sum(axis=0)
             least = np.minimum(least, np.where(np.isinf(local), np.inf, local).min(axis=2, initial=np.inf))
             top = _best(local, k)
@@ -145,7 +178,7 @@ def _gather(candidates: DataFrame, block: _Block, k: int) -> tuple[np.ndarray, n
 
 def _prune(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The ``k`` best of each query, ties to the smaller id."""
-    order = np.lexsort((ids, -scores, query))
+    order = np.lexsort((ids, ~scores, query))  # ~x falls as x rises, and doesn't overflow
     query, ids, scores = query[order], ids[order], scores[order]
     first = np.flatnonzero(np.concatenate(([True], query[1:] != query[:-1]))) if len(query) else np.zeros(0, np.int64)
     rank = np.arange(len(query)) - np.repeat(first, np.diff(np.append(first, len(query))))
@@ -158,18 +191,25 @@ def _resolve(candidates: DataFrame, block: _Block, cutoff: np.ndarray, least: np
     share = least + (cutoff - least.sum(axis=0)) / groups
 
     def survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query, found, scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        for ids, local in block.batches(batches):
+        query, found, scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for ids, local, wild, vectors in block.batches(batches):
             # Half a unit: local scores are whole numbers, shares are rounded.
             q, c = np.nonzero((local >= share[:, :, None] - 0.5).any(axis=0))
             total = local[:, q, c].sum(axis=0)
             keep = (total >= cutoff[q]) & np.isfinite(total)
-            query, found, scores = (np.concatenate(x) for x in ((query, q[keep]), (found, ids[c[keep]]), (scores, total[keep])))
+            q, c, total = q[keep], c[keep], total[keep].astype(np.int64)
+            if len(wild):
+                more = [(i, j, x) for i, j, x in block.exact(wild, vectors) if x >= cutoff[i]]
+                if any(not -_LONG <= x < _LONG for _, _, x in more):
+                    raise OverflowError("a score is beyond 64 bits")
+                more = np.array(more, np.int64).reshape(-1, 3)
+                q, c, total = (np.concatenate(x) for x in ((q, more[:, 0]), (c, more[:, 1]), (total, more[:, 2])))
+            query, found, scores = (np.concatenate(x) for x in ((query, q), (found, ids[c]), (scores, total)))
             if len(query) > KEPT_AT_ONCE:
                 query, found, scores = _prune(query, found, scores, k)
         query, found, scores = _prune(query, found, scores, k)
         yield pa.record_batch(
-            [pa.array(block.ids[query]), pa.array(found), pa.array(scores.astype(np.int64))], names=["query_id", "vec_id", "score"]
+            [pa.array(block.ids[query]), pa.array(found), pa.array(scores)], names=["query_id", "vec_id", "score"]
         )
 
     return candidates.mapInArrow(survivors, "query_id bigint, vec_id bigint, score bigint")
@@ -185,9 +225,9 @@ def top_k(
     key. Rows without key, without vector or with null or non-finite components
     take no part; vectors of different length are filled with zeros. A key that
     is repeated among the queries is one query (its smallest vector); every
-    candidate row with another key counts, repeated or not. Components so large
-    that scores aren't exact in 53 bits raise an error. An empty side gives no
-    rows; other columns are ignored.
+    candidate row with another key counts, repeated or not. Scores are exact for
+    finite components of any size; one that could be an answer and is beyond 64
+    bits raises an error. An empty side gives no rows; other columns are ignored.
     """
     named = lambda df: df.select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")).filter(
         F.col("vec_id").isNotNull() & usable("v")
@@ -202,9 +242,7 @@ def top_k(
         rows = asked.filter(F.expr(f"pmod(xxhash64(vec_id), {blocks}) = {number}")).toArrow()
         if not rows.num_rows:
             continue
-        block = _Block(
-            rows.column(0).to_numpy(), _matrix(rows.column(1).combine_chunks(), scale), groups, scale
-        )
+        block = _Block(rows.column(0).to_numpy(), rows.column(1).combine_chunks(), groups, scale)
         cutoff, least = _gather(candidates, block, k)
         parts.append(materialise(_resolve(candidates, block, cutoff, least, k), "topk-answers"))
     if not parts:

@@ -60,7 +60,22 @@ def test_empty_sides(spark):
     assert topk.top_k(some.limit(1), some.limit(1)).count() == 0
 
 
-def test_inexact_scores_raise(spark):
+def test_large_components(spark):
+    rows = [(1, [1e6, 2.0]), (2, [2e6, 1.0]), (3, [1.0, 1.0]), (4, [-2e6, 3.0]), (5, [1e6, 1.0]), (6, [1.0, -1.0]), (7, []), (8, [0.001])]
+    got = topk.top_k(_frame(spark, rows), _frame(spark, rows).repartition(3), k=3).collect()
+    assert sorted(map(tuple, got)) == _expected(rows, rows, 3)
+    assert max(r["score"] for r in got) > 1 << 60
+    # Scores that floats can't tell apart, and components beyond doubles once they are scaled.
+    rows = [(1, [1e9, 1.0]), (2, [2048.0, 1.0]), (3, [2048.0, 2.0]), (4, [2048.0, 3.0]), (5, [0.0, 1e306])]
+    frame = lambda r: spark.createDataFrame(r, "vec_id bigint, embedding array<double>")
+    got = topk.top_k(frame(rows[:1]), frame(rows[:4]), k=2).collect()
+    assert sorted(map(tuple, got)) == _expected(rows[:1], rows[:4], 2)
+    got = topk.top_k(frame([(9, [3.0, 0.0])]), frame(rows), k=5).collect()
+    expected = [(-sum(a * b for a, b in zip([3072, 0], [math.floor(1024 * x) if x < 1e300 else int(x) * 1024 for x in v], strict=True)), i) for i, v in rows]
+    assert [(r["score"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"])] == [(-s, i) for s, i in sorted(expected)]
+
+
+def test_scores_beyond_64_bits_raise(spark):
     big = _frame(spark, [(1, [1e12]), (2, [1e12])])
-    with pytest.raises(Exception, match="too large for exact scores"):
+    with pytest.raises(Exception, match="beyond 64 bits"):
         topk.top_k(big, big).collect()
