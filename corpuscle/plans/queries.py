@@ -56,6 +56,8 @@ SWEEP_THRESHOLDS = (0.20, 0.25, 0.30, 0.35, 0.40)
 TOP_N = 5
 NPROBE = 8
 SAMPLED = 100
+# Rows of a file of a streamed log, about.
+LOG_FILE_ROWS = 100_000
 
 
 def register(query: Query) -> Query:
@@ -808,20 +810,24 @@ def text_query_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _log_files(rows: DataFrame, least: int) -> list[DataFrame]:
+    """A log in order of ``seq``, cut into at least ``least`` parts of a file each, so that no file grows with the log."""
+    files = max(least, -(-rows.count() // LOG_FILE_ROWS))
+    ranges = rows.repartitionByRange(files, "seq").withColumn("part", F.spark_partition_id())
+    stored = materialise(ranges, "log-ranges", ["part"])
+    return [stored.filter(F.col("part") == i).drop("part").coalesce(1) for i in range(files)]
+
+
 @register
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flushed log as a stream of four files, one per micro-batch, in order of ``seq``."""
-    rows = query_log(spark, sf_dir, flushes=True)
+    """The flushed log as a stream of four files or more, one per micro-batch; entries are merged after every second."""
     path = fresh_path(spark, "stream-log")
-    low, high = rows.agg(F.min("seq"), F.max("seq")).first()
-    edges = [low + (high - low) * i // 4 for i in range(4)] + [high + 1]
-    for start, end in itertools.pairwise(edges):
-        part = rows.filter((F.col("seq") >= start) & (F.col("seq") < end))
-        part.coalesce(1).write.mode("append").parquet(path)
-    log = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    for part in _log_files(query_log(spark, sf_dir, flushes=True), 4):
+        part.write.mode("append").parquet(path)
+    log = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(path)
     docs = documents_with_vectors(spark, sf_dir)
     stream = QueryStream(
-        spark, fresh_path(spark, "stream"), centres(spark, sf_dir), docs, REPLAY_THRESHOLD
+        spark, fresh_path(spark, "stream"), centres(spark, sf_dir), docs, REPLAY_THRESHOLD, fanout=2
     )
     running = stream.start(log, fresh_path(spark, "stream-progress")).trigger(availableNow=True).start()
     running.awaitTermination()
@@ -833,16 +839,14 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def stream_replay_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flushed log as a stream of eight files through keyed state, with a restart after four of them."""
-    rows = query_log(spark, sf_dir, flushes=True)
+    """The flushed log as a stream of eight files or more through keyed state, with a restart after half of them."""
     source, root = fresh_path(spark, "keyed-log"), fresh_path(spark, "keyed-stream")
     middle = centres(spark, sf_dir)
-    low, high = rows.agg(F.min("seq"), F.max("seq")).first()
-    edges = [low + (high - low) * i // 8 for i in range(8)] + [high + 1]
-    for number, (start, end) in enumerate(itertools.pairwise(edges)):
-        rows.filter((F.col("seq") >= start) & (F.col("seq") < end)).coalesce(1).write.mode("append").parquet(source)
-        if number % 4 == 3:
-            log = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    parts = _log_files(query_log(spark, sf_dir, flushes=True), 8)
+    for number, part in enumerate(parts, 1):
+        part.write.mode("append").parquet(source)
+        if number in (len(parts) // 2, len(parts)):
+            log = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(source)
             played = keyed_stream.keyed_decisions(log, middle, REPLAY_THRESHOLD)
             writer = played.writeStream.format("parquet").option("path", f"{root}/decisions")
             writer.option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start().awaitTermination()

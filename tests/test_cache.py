@@ -1,9 +1,12 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from corpuscle.operators import cache, replay, requests, thresholds
 from corpuscle.sources import cache_store
+from corpuscle.streaming import query_stream
 from corpuscle.streaming.query_stream import LOG_SCHEMA, QueryStream
 
 from support import DIM, log_rows, serial_replay, unit, unit_rows, vector_rows
@@ -298,7 +301,7 @@ def test_stream_equals_replay(spark, centres, tmp_path):
     played = replay.replay_log(log_rows(spark, rows), centres, threshold=0.5)
     expected = replay.responses(played, replay.search_misses(played, docs))
 
-    stream = QueryStream(spark, str(tmp_path / "state"), centres, docs, threshold=0.5)
+    stream = QueryStream(spark, str(tmp_path / "state"), centres, docs, threshold=0.5, fanout=2)
     source = str(tmp_path / "log")
     for part in (rows[:60], rows[60:110], rows[110:]):
         log_rows(spark, part).coalesce(1).write.mode("append").parquet(source)
@@ -319,6 +322,41 @@ def test_stream_equals_replay(spark, centres, tmp_path):
     assert sorted(stream.responses().collect()) == sorted(expected.select(*got.columns).collect())
 
 
+def test_segments_of_entries(spark, centres, tmp_path):
+    rng = np.random.default_rng(5)
+    stream = QueryStream(spark, str(tmp_path / "a"), centres, spark.range(0), fanout=3)
+    twin = QueryStream(spark, str(tmp_path / "b"), centres, spark.range(0), fanout=3)
+    kept, era = {}, 0
+    for batch in range(20):
+        segments = stream.segments_before(batch)
+        covered = [b for level, first in segments for b in range(first, first + 3**level)]
+        assert covered == list(range(batch)) and len(segments) <= 2 * 3
+        rows = []
+        for i in range(4):
+            written = batch * 10 + i
+            if batch in (8, 13) and i == 2:
+                era, kept = era + 1, {}
+            # Now and then an older entry of the era is written again.
+            seq = int(rng.choice(sorted(kept))) if kept and rng.random() < 0.5 else written
+            kept[seq] = str(written)
+            rows.append((seq, f"q{seq}", [0.5], [(1, "c", 0.5, str(written))], 0, None, written, era))
+        segment = spark.createDataFrame(rows, query_stream._ENTRIES).coalesce(1)
+        stream._write_segment(segment, 0, batch)
+        stream._compact(batch, era)
+        if batch != 2:  # the batch that would fill segments is never run here
+            twin._write_segment(segment, 0, batch)
+        if batch in (0, 7, 8, 9, 14, 17, 19):
+            found = stream.entries_before(batch + 1, era).collect()
+            assert {r["seq"]: r["result"][0]["text"] for r in found} == kept and len(found) == len(kept)
+            assert all(r["query"] == f"q{r['seq']}" for r in found)
+    assert Path(stream._segment(2, 0)).exists() and not Path(twin._segment(2, 0)).exists()
+    assert sorted(twin.entries_before(20, era).collect()) == sorted(stream.entries_before(20, era).collect())
+    plan = stream.entries_before(20, era)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(era" in plan
+    with pytest.raises(ValueError, match="fanout"):
+        QueryStream(spark, str(tmp_path), centres, spark.range(0), fanout=1)
+
+
 def test_requests(spark):
     rows = [
         (1, "ok", None, None), (2, "", 0.5, 5), (3, None, 0.5, 5), (4, "x", -0.1, 5), (5, "x", 1.1, 5),
