@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuscle.functions.membership import (
@@ -24,6 +24,7 @@ from corpuscle.functions.membership import (
     membership_matrix,
 )
 from corpuscle.functions.vectors import list_column, matrix, sum_vector
+from corpuscle.sources.shared import materialise, small_side
 
 # Results depend on them.
 SAMPLE_SIZE = 5000
@@ -43,6 +44,44 @@ def sample_rows(rows: DataFrame, n: int = SAMPLE_SIZE, key: str = "doc_id", seed
     return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), key).limit(n)
 
 
+def stratified_rows(
+    rows: DataFrame, strata: str, n: int = SAMPLE_SIZE, key: str = "doc_id", seed: int = SEED
+) -> DataFrame:
+    """A random sample of exactly min(n, rows) in which every stratum has its share.
+
+    Seats are dealt by largest remainders, ties to the smaller stratum; null is a
+    stratum of its own, first among ties. In a stratum rows stand in the order of
+    ``sample_rows``. Rows with the same key and equal hash are taken in any order.
+    """
+    if n < 0:
+        raise ValueError("n must not be negative")
+    sizes = rows.groupBy(F.col(strata).alias("_stratum")).agg(F.count("*").cast("decimal(38,0)").alias("_size"))
+    sizes = materialise(sizes, "strata")
+    total = int(sizes.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0])
+    wanted = min(n, total)
+    # Whole numbers throughout: size = share * total / wanted + rest.
+    share = F.expr(f"_size * {wanted}BD div {max(1, total)}BD").cast("decimal(38,0)")
+    shares = sizes.select("_stratum", share.alias("_share"), (F.col("_size") * wanted % max(1, total)).alias("_rest"))
+    left = wanted - int(shares.agg(F.coalesce(F.sum("_share"), F.lit(0))).first()[0])
+    # The strata with the largest remainders: a top-n, as many as there are seats left.
+    extra = shares.orderBy(F.desc("_rest"), F.asc_nulls_first("_stratum")).limit(left).select(
+        F.col("_stratum").alias("_more"), F.lit(1).alias("_seat")
+    )
+    seats = shares.join(extra, F.col("_stratum").eqNullSafe(F.col("_more")), "left").select(
+        "_stratum", (F.col("_share") + F.coalesce("_seat", F.lit(0))).cast("bigint").alias("_seats")
+    )
+    seats = small_side(seats.filter("_seats > 0"), "seats")
+    most = seats.agg(F.coalesce(F.max("_seats"), F.lit(0))).first()[0]
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    # Rows travel as one column, so that none of their names can clash.
+    packed = rows.select(F.struct(*rows.columns).alias("_row"), F.col(strata).alias("_of"), order.alias("_hash"), F.col(key).alias("_key"))
+    place = F.row_number().over(Window.partitionBy("_of").orderBy("_hash", "_key"))
+    # The fixed bound lets Spark cut a stratum down before the shuffle, wherever its rows are.
+    near = packed.withColumn("_place", place).filter(F.col("_place") <= most)
+    chosen = near.join(seats, F.col("_of").eqNullSafe(F.col("_stratum"))).filter("_place <= _seats")
+    return chosen.select("_row.*")
+
+
 def start_key(key: str = "doc_id", seed: int = SEED) -> Column:
     """Per-row number from which the random first memberships are drawn."""
     return F.xxhash64(F.col(key), F.lit(seed))

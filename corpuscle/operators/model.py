@@ -76,13 +76,18 @@ def fit_points(
     sample_size: int | None = None,
     key: str = "doc_id",
     seed: int = fcm.SEED,
+    strata: str | None = None,
 ) -> DataFrame:
-    """Unit vectors and start keys of all rows, or of a sample, written once."""
-    rows = vectors.select(key, "embedding")
+    """Unit vectors and start keys of all rows, or of a sample (by ``strata`` if given), written once."""
+    rows = vectors.select(key, "embedding", *([strata] if strata else []))
     if sample_size is not None:
         # A sample is one partition after the limit; the passes use more.
         slices = min(rows.sparkSession.sparkContext.defaultParallelism, sample_size // 512)
-        rows = fcm.sample_rows(rows, sample_size, key, seed).repartition(max(1, slices), key)
+        if strata:
+            sample = fcm.stratified_rows(rows, strata, sample_size, key, seed)
+        else:
+            sample = fcm.sample_rows(rows, sample_size, key, seed)
+        rows = sample.repartition(max(1, slices), key)
     points = rows.select(
         l2_normalize(F.col("embedding")).alias("embedding"),
         fcm.start_key(key, seed).alias("start_key"),

@@ -290,6 +290,10 @@ SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, source || '/' || doc
         "vector_collection": """
 SELECT vec_id AS doc_id, source AS category, row_number() OVER (ORDER BY vec_id) - 1 AS doc_index, 1.0::DOUBLE AS norm
 FROM embeddings LEFT JOIN documents ON vec_id = doc_id""",
+        "build_reuse": f"""WITH {_USABLE}
+SELECT run::INTEGER AS run, stage, run = 1 OR (run = 3 AND stage = 'index') OR (run = 4 AND stage = 'cluster') AS ran,
+  (SELECT count(*) FROM usable) AS n_docs
+FROM range(1, 5) AS runs(run), (VALUES ('index'), ('cluster')) AS stages(stage)""",
         "build_tables": f"""WITH {_USABLE}
 SELECT doc_id, category, row_number() OVER (ORDER BY doc_seq) - 1 AS doc_index, 4 AS n_clusters FROM usable""",
         "collection_count": "SELECT count(*) AS n FROM embeddings",
@@ -355,6 +359,14 @@ WHERE silhouette > -1 ORDER BY round(silhouette, 6) DESC, k LIMIT 1""",
 SELECT cluster, (pos - 1)::INTEGER AS pos, {_round('sum(u * u * x) / sum(u * u)', 6)} AS value
 FROM u JOIN cells USING (vec_id) GROUP BY cluster, pos""",
         "sample_rows": f"SELECT vec_id FROM embeddings ORDER BY md5('42:' || vec_id), vec_id LIMIT {SAMPLED}",
+        "stratified_sample": f"""WITH docs AS (SELECT doc_id, concat_ws('/', source, lang) AS stratum FROM documents),
+sizes AS (SELECT stratum, count(*) AS size, sum(count(*)) OVER () AS total FROM docs GROUP BY stratum),
+shares AS (SELECT *, least({SAMPLED}, total) AS wanted FROM sizes),
+dealt AS (SELECT stratum, size * wanted // total AS share, wanted,
+  row_number() OVER (ORDER BY size * wanted % total DESC, stratum) AS turn FROM shares),
+seats AS (SELECT stratum, share + (turn <= wanted - sum(share) OVER ())::INTEGER AS seats FROM dealt),
+places AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5('42:' || doc_id), doc_id) AS place FROM docs)
+SELECT doc_id, stratum FROM places JOIN seats USING (stratum) WHERE place <= seats""",
         "cluster_artifact": f"""WITH {_VECTORS}
 SELECT cluster, (pos - 1)::INTEGER AS pos, {_round('value', 6)} AS value, (SELECT count(*) FROM vecs) AS n_docs
 FROM (SELECT cluster, unnest(c) AS value, generate_subscripts(c, 1) AS pos FROM centres)""",

@@ -9,6 +9,7 @@ queries.
 
 from __future__ import annotations
 
+import functools
 import io
 import itertools
 import tarfile
@@ -485,6 +486,23 @@ def build_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_vectors(spark, build.collection).select("doc_id", "category", "doc_index").join(sizes, "doc_id")
 
 
+@register
+def build_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which stages four runs of a build compute: anew, unchanged, with longer signatures, with other options."""
+    root, raw = fresh_path(spark, "build"), raw_articles(spark, sf_dir)
+    longer = raw.withColumn("text", F.concat("text", F.lit("\n--\nmore")))
+    runs = []
+    for number, (rows, fuzziness) in enumerate([(raw, 1.1), (raw, 1.1), (longer, 1.1), (longer, 1.2)], 1):
+        build = run_build(spark, rows, root, reuse=True, cluster_counts=(4,), bounds=(4, 4), fuzziness=fuzziness)
+        memberships, _ = tables.load_clusters(spark, build.clusters)
+        # Written: the next run replaces the tables that this one counts.
+        counted = materialise(memberships.agg(F.count("*").alias("n_docs")), "build-count")
+        for stage in ("index", "cluster"):
+            ran = F.lit(stage in build.ran).alias("ran")
+            runs.append(counted.select(F.lit(number).alias("run"), F.lit(stage).alias("stage"), ran, "n_docs"))
+    return functools.reduce(DataFrame.unionByName, runs)
+
+
 # --- clusters -------------------------------------------------------------
 
 
@@ -606,6 +624,13 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fcm.sample_rows(table(spark, sf_dir, "embeddings"), SAMPLED, "vec_id").select("vec_id")
 
 
+@register
+def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of a hundred documents in which every source and language has its share."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", "source", "lang").alias("stratum"))
+    return fcm.stratified_rows(docs, "stratum", SAMPLED).select("doc_id", "stratum")
+
+
 @register
 def cluster_artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Memberships and centres saved and loaded; the centres, cell by cell."""

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from corpuscle.functions import membership as mb
 from corpuscle.plans.pipeline import run_build
 from corpuscle.sources import articles, tables
+from corpuscle.sources.manifest import Manifest, content_digest
 
 
 def _articles(n=4, per=20):
@@ -100,3 +101,28 @@ def test_build_and_reuse(spark, places, tmp_path):
     # Indexing again replaces the collection.
     run_build(spark, raw, root, skip_clustering=True, smoke=True)
     assert tables.open_collection(spark, build.collection).count() == len(expected)
+
+
+def test_manifest(spark, tmp_path):
+    rows = [(1, "a", [1.0]), (2, None, [2.0]), (2, None, [2.0]), (None, "b", None)]
+    frame = lambda r: spark.createDataFrame(r, "id int, text string, v array<double>")
+    one = content_digest(frame(rows))
+    assert one == content_digest(frame(rows[::-1]).repartition(3)) == content_digest(frame(rows).select("v", "text", "id"))
+    changed = [rows[:3], [*rows, rows[1]], rows[:1] * 3 + rows[3:], [(1, "b", [1.0]), *rows[1:3], (None, "a", None)], []]
+    assert len({one, *(content_digest(frame(r)) for r in changed)}) == 6
+    nulls = "a string, b string"
+    assert content_digest(spark.createDataFrame([("x", None)], nulls)) != content_digest(spark.createDataFrame([(None, "x")], nulls))
+
+    stage = lambda: Manifest(spark, str(tmp_path), "s")
+    assert not stage().matches(one, {})
+    stage().end(one, {"bounds": (3, 4), "smoke": False})
+    assert stage().matches(one, {"smoke": False, "bounds": [3, 4]}) and not stage().matches(one, {"smoke": True, "bounds": [3, 4]})
+    assert not stage().matches("other", {"smoke": False, "bounds": [3, 4]})
+    # A stage that was begun and didn't end is run again.
+    stage().begin()
+    assert not stage().matches(one, {"smoke": False, "bounds": [3, 4]})
+
+
+def test_nothing_to_build_from(spark, tmp_path):
+    with pytest.raises(ValueError, match="nothing to build"):
+        run_build(spark, None, str(tmp_path), reuse=True)

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -172,3 +174,25 @@ def test_sample_is_exact_and_stable(spark):
     other = {r["vec_id"] for r in fcm.sample_rows(rows, 50, "vec_id", seed=1).collect()}
     assert other != one
     assert fcm.sample_rows(rows, 5000, "vec_id").count() == 300
+
+
+def test_stratified_sample(spark):
+    sizes = {"a": 100, "b": 33, None: 33, "c": 7, "d": 1}
+    data = [(f"{s}{i}", s, 1) for s, n in sizes.items() for i in range(n)]
+    rows = spark.createDataFrame(data, "doc_id string, kind string, _seats int")
+    for n in (0, 1, 2, 17, 60, 173, 174, 5000):
+        got = fcm.stratified_rows(rows.repartition(5), "kind", n).collect()
+        wanted, total = min(n, len(data)), len(data)
+        seats = {s: c * wanted // total for s, c in sizes.items()}
+        turn = sorted(sizes, key=lambda s: (-(sizes[s] * wanted % total), s is not None, s or ""))
+        for s in turn[: wanted - sum(seats.values())]:
+            seats[s] += 1
+        key = lambda r: hashlib.md5(f"42:{r[0]}".encode()).hexdigest()
+        expected = [r for s, c in seats.items() for r in sorted((r for r in data if r[1] == s), key=key)[:c]]
+        assert sorted(r["doc_id"] for r in got) == sorted(r[0] for r in expected)
+        assert rows.columns == ["doc_id", "kind", "_seats"] and len(got) == wanted
+    assert fcm.stratified_rows(rows.limit(0), "kind", 5).count() == 0
+    plan = fcm.stratified_rows(rows, "kind", 17)._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan
+    with pytest.raises(ValueError, match="negative"):
+        fcm.stratified_rows(rows, "kind", -1)
