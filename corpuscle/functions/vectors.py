@@ -46,7 +46,12 @@ def sum_vector(vector: Column) -> Column:
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Rows of a list column as a float64 matrix.
+    """Rows of a list column as a float64 matrix; see ``stored_matrix``."""
+    return stored_matrix(column).astype(np.float64, copy=False)
+
+
+def stored_matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows of a list column as a matrix of the stored type, without a copy of the numbers.
 
     Null vectors, null components and vectors of different length have no place
     in a matrix and raise; drop such rows before.
@@ -63,7 +68,7 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if column.flatten().null_count:
         raise ValueError("a component of a vector is null")
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.astype(np.float64).reshape(len(column), -1)
+    return flat.reshape(len(column), -1)
 
 
 def list_column(values: np.ndarray) -> pa.ListArray:

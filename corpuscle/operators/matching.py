@@ -9,8 +9,10 @@ pair is ever written out. Which side travels is decided by counting:
   best ``n`` per query, and one shuffle of those merges them;
 * few entries: they go to every task that scans queries; no shuffle at all;
 * many of both: each bucket is cut into entry blocks and query blocks by the
-  hash of the row's id, and each pair of blocks is one small group. A bucket
-  with a third of all rows just has more blocks.
+  hash of the row's id, and each pair of blocks is one group. A row travels once
+  per block of the other side, so a bucket is cut into no more blocks than give
+  every core some groups: with larger tables blocks get longer, up to
+  ``BLOCK_BYTES``, not more. A bucket with a third of all rows has more blocks.
 """
 
 from __future__ import annotations
@@ -28,13 +30,14 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from corpuscle.functions.vectors import SCORE_DIGITS, matrix
+from corpuscle.functions.vectors import SCORE_DIGITS, stored_matrix
 
 # A side travels to every task only below both limits.
 TRAVEL_ROWS = 20_000
 TRAVEL_BYTES = 256 * 1024 * 1024
-# Rows per block where both sides are large.
+# Rows per block where both sides are large, at least; and the bytes a block may grow to.
 BLOCK_ROWS = 20_000
+BLOCK_BYTES = 32 * 1024 * 1024
 GROUPS_PER_CORE = 4
 # Size of one matrix product: small enough to stay in a core's cache.
 _BLOCK_QUERIES, _BLOCK_ENTRIES = 256, 1024
@@ -44,7 +47,7 @@ _UNITS = 10.0**SCORE_DIGITS
 
 @dataclass
 class _Rows:
-    """One side of a match in memory, in order of the id: ids, vectors, rows per bucket."""
+    """One side of a match in memory, in order of the id: ids, vectors as they are stored, rows per bucket."""
 
     ids: np.ndarray
     vectors: np.ndarray
@@ -58,7 +61,11 @@ class _Rows:
         buckets = table["bucket"].to_numpy(zero_copy_only=False)
         order = np.argsort(ids, kind="stable")
         by_bucket = {b: order[buckets[order] == b] for b in np.unique(buckets)}
-        return cls(ids, matrix(table["vector"]), by_bucket)
+        return cls(ids, stored_matrix(table["vector"]), by_bucket)
+
+    def part(self, rows: np.ndarray) -> np.ndarray:
+        """Some vectors as doubles. Only parts are widened and copied, never a whole side."""
+        return self.vectors[rows].astype(np.float64, copy=False)
 
 
 def _best(found: pd.DataFrame, n: int) -> pd.DataFrame:
@@ -86,26 +93,26 @@ def _largest(scores: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _best_pairs(
-    queries: np.ndarray,
-    entries: np.ndarray,
-    n: int,
-    ids: tuple[np.ndarray, np.ndarray] | None,
+    queries: _Rows, in_q: np.ndarray, entries: _Rows, in_e: np.ndarray, n: int, earlier: bool
 ) -> Iterator[tuple]:
     """(query row, entry row, score): a superset of the n best of each query, n per block.
 
-    Entries come in order of their id, so an entry of a later block must beat
-    the n-th best so far; an equal score is not enough. With the ``ids`` of both
-    sides, entries not before the query are left out.
+    Only the rows ``in_q`` and ``in_e`` of both sides count. Entries come in
+    order of their id, so an entry of a later block must beat the n-th best so
+    far; an equal score is not enough. With ``earlier``, entries not before the
+    query are left out.
     """
-    for start in range(0, len(queries), _BLOCK_QUERIES):
-        block = queries[start : start + _BLOCK_QUERIES]
+    for start in range(0, len(in_q), _BLOCK_QUERIES):
+        of_queries = in_q[start : start + _BLOCK_QUERIES]
+        block = queries.part(of_queries)
         floor = np.full(len(block), -np.inf)
-        for first in range(0, len(entries), _BLOCK_ENTRIES):
-            scores = block @ entries[first : first + _BLOCK_ENTRIES].T
+        for first in range(0, len(in_e), _BLOCK_ENTRIES):
+            of_entries = in_e[first : first + _BLOCK_ENTRIES]
+            scores = block @ entries.part(of_entries).T
             scores *= _UNITS
             np.rint(scores, out=scores)
-            if ids is not None:
-                late = ids[1][first : first + _BLOCK_ENTRIES] >= ids[0][start : start + _BLOCK_QUERIES, None]
+            if earlier:
+                late = entries.ids[of_entries] >= queries.ids[of_queries, None]
                 scores[late] = -np.inf
             above = scores > floor[:, None]
             count = above.sum(axis=1)
@@ -114,7 +121,7 @@ def _best_pairs(
                 above[full], nth = _largest(scores[full], n)
                 floor[full] = nth
             rows, columns = np.nonzero(above)
-            yield rows + start, columns + first, scores[rows, columns] / _UNITS
+            yield of_queries[rows], of_entries[columns], scores[rows, columns] / _UNITS
 
 
 def _match(queries: _Rows, entries: _Rows, n: int, earlier: bool) -> pd.DataFrame:
@@ -124,15 +131,9 @@ def _match(queries: _Rows, entries: _Rows, n: int, earlier: bool) -> pd.DataFram
         in_e = entries.by_bucket.get(bucket)
         if in_e is None:
             continue
-        ids = (queries.ids[in_q], entries.ids[in_e]) if earlier else None
-        pairs = _best_pairs(queries.vectors[in_q], entries.vectors[in_e], n, ids)
-        for rows, columns, scores in pairs:
+        for rows, columns, scores in _best_pairs(queries, in_q, entries, in_e, n, earlier):
             found = pd.DataFrame(
-                {
-                    "query": queries.ids[in_q[rows]],
-                    "entry": entries.ids[in_e[columns]],
-                    "score": scores,
-                }
+                {"query": queries.ids[rows], "entry": entries.ids[columns], "score": scores}
             )
             parts.append(found)
     if not parts:
@@ -179,7 +180,8 @@ def top_matches(
     ``bucket`` (a BIGINT column of both sides) only entries of the query's
     bucket count, and a query whose bucket is empty has no row. With
     ``several_buckets`` a query may be given once per bucket it visits. With
-    ``earlier`` only entries whose id is below the query's id count.
+    ``earlier`` only entries whose id is below the query's id count. Blocks
+    have ``block_rows`` rows until there are enough of them; then they get longer.
     """
     e = _side(entries, "entry", entry_id, entry_vector, bucket)
     q = _side(queries, "query", query_id, query_vector, bucket)
@@ -206,7 +208,11 @@ def top_matches(
     cores = entries.sparkSession.sparkContext.defaultParallelism
     even = math.isqrt(n_queries * n_entries // (GROUPS_PER_CORE * cores))
     block_rows = min(block_rows, max(even, 1000))
-    return _ranked(_block_pairs(e, q, n, earlier, schema, block_rows), n)
+    # A row travels once per block of the other side, so their number must not follow the rows.
+    most = max(2, math.isqrt(GROUPS_PER_CORE * cores))
+    width = q.agg(F.max(F.size("vector")).alias("width")).first()["width"] or 1
+    longest = max(block_rows, BLOCK_BYTES // (4 * max(width, 1)))
+    return _ranked(_block_pairs(e, q, n, earlier, schema, block_rows, most, longest), n)
 
 
 def match_in_place(
@@ -284,6 +290,13 @@ def _scan_queries(travelling: pa.Table, n: int, earlier: bool):
     return scan
 
 
+def _blocks(side: DataFrame, name: str, block_rows: int, most: int, longest: int) -> DataFrame:
+    """Blocks per bucket: one per ``block_rows`` rows, but not above ``most`` unless a block had more than ``longest`` rows."""
+    enough = F.least(F.ceil(F.count("*") / F.lit(block_rows)), F.lit(most))
+    needed = F.ceil(F.count("*") / F.lit(longest))
+    return side.groupBy("bucket").agg(F.greatest(enough, needed).cast("int").alias(name))
+
+
 def _block_pairs(
     entries: DataFrame,
     queries: DataFrame,
@@ -291,14 +304,12 @@ def _block_pairs(
     earlier: bool,
     schema: T.StructType,
     block_rows: int,
+    most: int,
+    longest: int,
 ) -> DataFrame:
-    def blocks(side: DataFrame, name: str) -> DataFrame:
-        return side.groupBy("bucket").agg(
-            F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias(name)
-        )
-
+    bounds = (block_rows, most, longest)
     # One row per bucket; only buckets with rows on both sides can match.
-    cuts = blocks(entries, "entry_blocks").join(blocks(queries, "query_blocks"), "bucket")
+    cuts = _blocks(entries, "entry_blocks", *bounds).join(_blocks(queries, "query_blocks", *bounds), "bucket")
 
     def cut(side: DataFrame, own: str, other: str) -> DataFrame:
         own_block = F.pmod(F.xxhash64(own), F.col(f"{own}_blocks")).cast("int")
