@@ -31,6 +31,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpuscle.functions.vectors import SCORE_DIGITS, stored_matrix
+from corpuscle.sources.shared import small_side
 
 # A side travels to every task only below both limits.
 TRAVEL_ROWS = 20_000
@@ -308,8 +309,10 @@ def _block_pairs(
     longest: int,
 ) -> DataFrame:
     bounds = (block_rows, most, longest)
-    # One row per bucket; only buckets with rows on both sides can match.
+    # One row per bucket; only buckets with rows on both sides can match. Marked for broadcast:
+    # Spark takes a vector for one number and would send a side through the driver instead.
     cuts = _blocks(entries, "entry_blocks", *bounds).join(_blocks(queries, "query_blocks", *bounds), "bucket")
+    cuts = small_side(cuts, "match-cuts")
 
     def cut(side: DataFrame, own: str, other: str) -> DataFrame:
         own_block = F.pmod(F.xxhash64(own), F.col(f"{own}_blocks")).cast("int")
