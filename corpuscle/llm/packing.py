@@ -42,7 +42,7 @@ GROUPS = 1024
 SMALL_SHARE = 1 / 8
 # Rows of one length that are ranked together, at least.
 RANKED_TOGETHER = 512
-# Words whose ids a task remembers, and the longest such word.
+# Words whose ids a worker remembers, and the longest such word.
 REMEMBERED = 200_000
 REMEMBERED_CHARS = 40
 
@@ -68,15 +68,17 @@ class _Words(dict):
         from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__({"": b""})
+        self.earlier: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(vocabulary or default_vocabulary())
         self.merges = self.tokenizer.model
         bytewise = ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytewise = {ord(c): bytewise.pre_tokenize_str(c)[0][0] for c in map(chr, range(0x80, 0x250)) if c.isalpha()}
 
     def encode(self, word: str) -> bytes:
-        if word.isalpha() and word == word.lower() and max(word) < "\u0250":
+        if word.isalpha() and word == word.lower() and (word.isascii() or max(word) < "\u0250"):
             # Composed lower-case letters alone are one run that no earlier step changes.
-            found = (token.id for token in self.merges.tokenize(word.translate(self.bytewise)))
+            bytewise = word if word.isascii() else word.translate(self.bytewise)
+            found = [token.id for token in self.merges.tokenize(bytewise)]
         else:
             found = self.tokenizer.encode(word, add_special_tokens=False).ids
         ids = array("I", found)
@@ -85,17 +87,27 @@ class _Words(dict):
         return ids.tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        stem = word.rstrip(_MARKS)
-        # Marks after a letter are a token run of their own, and below U+0250 letters are
-        # composed and lower-cased one by one, so such words share the ids of their stem.
-        if stem and stem != word.lower() and stem[-1].isalpha() and max(word) < "\u0250" and "\u0130" not in word:
-            ids = self[stem.lower()] + self[word[len(stem) :]]
-        else:
-            ids = self.encode(word)
+        ids = self.earlier.get(word)
+        if ids is None:
+            ids = self.ids(word)
         if len(word) <= REMEMBERED_CHARS:
             self[word] = ids
         return ids
 
+    def ids(self, word: str) -> bytes:
+        stem = word.rstrip(_MARKS)
+        # Marks after a letter are a token run of their own, and below U+0250 letters are
+        # composed and lower-cased one by one, so such words share the ids of their stem.
+        if stem and stem != word.lower() and stem[-1].isalpha() and (word.isascii() or max(word) < "\u0250" and "\u0130" not in word):
+            return self[stem.lower()] + self[word[len(stem) :]]
+        return self.encode(word)
+
+    def forget(self) -> None:
+        """Forget the words that weren't met since this was last called, so that common ones stay."""
+        self.earlier = dict(self)
+        self.clear()
+        self[""] = b""
+
 
 class _Encoder:
     """Ids of texts as little-endian bytes.
@@ -109,12 +121,21 @@ class _Encoder:
 
     def __call__(self, text: str) -> bytes:
         words = self.words
-        if len(words) > REMEMBERED:
-            words.clear()
-            words[""] = b""
+        if len(words) > REMEMBERED // 2:
+            words.forget()
         return b"".join(map(words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+_KEPT: dict[str | None, _Encoder] = {}
+
+
+def _kept_encoder(vocabulary: str | None) -> _Encoder:
+    """The worker's encoder: what one task has learnt serves the next."""
+    if vocabulary not in _KEPT:
+        _KEPT[vocabulary] = _Encoder(vocabulary)
+    return _KEPT[vocabulary]
+
+
 def pieces(
     docs: DataFrame, *, text: str = "text", key: str = "doc_id", vocabulary: str | None = None,
     capacity: int = CAPACITY, end_id: int = 0,
@@ -127,7 +148,7 @@ def pieces(
     tail = np.asarray([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _Encoder(vocabulary)
+        encode = _kept_encoder(vocabulary)
         for batch in batches:
             rows: list[tuple] = []
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

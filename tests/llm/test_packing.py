@@ -112,3 +112,17 @@ def test_empty_table(spark):
     got = packing.pack(spark.createDataFrame([], "doc_id bigint, text string"))
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert got.count() == 0
+
+
+def test_common_words_stay_remembered(monkeypatch):
+    """op10: a full memory drops the words that weren't met lately, not the common ones."""
+    monkeypatch.setattr(packing, "REMEMBERED", 8)
+    encoder, asked = packing._kept_encoder(None), []
+    assert packing._kept_encoder(None) is encoder
+    encode = packing._Words.encode
+    monkeypatch.setattr(packing._Words, "encode", lambda words, word: asked.append(word) or encode(words, word))
+    for i in range(20):
+        text = f"commonly Commonly, été{i} x{i} y{i}"
+        expected = encoder.words.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder(text), dtype="<u4").tolist() == expected
+    assert asked.count("commonly") == 1
