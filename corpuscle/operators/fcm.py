@@ -23,7 +23,7 @@ from corpuscle.functions.membership import (
     distances,
     membership_matrix,
 )
-from corpuscle.functions.vectors import list_column, matrix, sum_vector
+from corpuscle.functions.vectors import list_column, stored_matrix, sum_vector
 from corpuscle.sources.shared import materialise, small_side
 
 # Results depend on them.
@@ -33,6 +33,8 @@ CLUSTER_BOUNDS = (10, 20)
 MAX_PASSES = 150
 TOLERANCE = 1e-5
 SEED = 42
+# Points whose sums are taken at a time: they stay in a core's cache.
+POINTS_AT_ONCE = 1024
 # Partitions whose sums one task merges.
 MERGE_WIDTH = 512
 # Memberships this close to 1/k on average mean that all centres have merged.
@@ -133,35 +135,42 @@ def _partial_sums(states: list[tuple[int, np.ndarray | None, np.ndarray | None]]
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            x = matrix(batch["embedding"])
-            keys = batch["start_key"].to_numpy(zero_copy_only=False)
-            for k, before, now in states:
-                if now is None:
-                    u, previous, objective = _start_memberships(keys, k), None, 0.0
-                else:
-                    dist = distances(x, now)
-                    u = membership_matrix(dist, m)
-                    previous = (
-                        _start_memberships(keys, k)
-                        if before is None
-                        else membership_matrix(distances(x, before), m)
-                    )
-                    objective = float((previous**m * dist**2).sum())
-                weights = u**m
-                change = 0.0 if previous is None else float(((u - previous) ** 2).sum())
-                sums = np.concatenate(
-                    [
-                        (weights.T @ x).ravel(),
-                        weights.sum(axis=0),
-                        [float((u**2).sum()), objective, change, float(len(x))],
-                    ]
-                )
-                totals[k] = totals[k] + sums if k in totals else sums
+            points = stored_matrix(batch["embedding"])
+            start_keys = batch["start_key"].to_numpy(zero_copy_only=False)
+            for first in range(0, len(points), POINTS_AT_ONCE):
+                x = points[first : first + POINTS_AT_ONCE].astype(np.float64, copy=False)
+                keys = start_keys[first : first + POINTS_AT_ONCE]
+                add_slice(totals, x, keys)
         for k, sums in totals.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k], pa.int32()), list_column(sums[None, :])], names=["k", "sums"]
             )
 
+    def add_slice(totals: dict[int, np.ndarray], x: np.ndarray, keys: np.ndarray) -> None:
+        squares = (x**2).sum(axis=1)
+        for k, before, now in states:
+            if now is None:
+                u, previous, objective = _start_memberships(keys, k), None, 0.0
+            else:
+                dist = distances(x, now, squares)
+                u = membership_matrix(dist, m)
+                previous = (
+                    _start_memberships(keys, k)
+                    if before is None
+                    else membership_matrix(distances(x, before, squares), m)
+                )
+                objective = float((previous**m * dist**2).sum())
+            weights = u**m
+            change = 0.0 if previous is None else float(((u - previous) ** 2).sum())
+            sums = np.concatenate(
+                [
+                    (weights.T @ x).ravel(),
+                    weights.sum(axis=0),
+                    [float((u**2).sum()), objective, change, float(len(x))],
+                ]
+            )
+            totals[k] = totals[k] + sums if k in totals else sums
+
     return add_up
 
 
