@@ -851,7 +851,8 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in _log_files(query_log(spark, sf_dir, flushes=True), 4):
         part.write.mode("append").parquet(path)
     log = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    docs = documents_with_vectors(spark, sf_dir)
+    # Every batch reads them several times: joined once, not once per read.
+    docs = materialise(documents_with_vectors(spark, sf_dir), "stream-documents")
     stream = QueryStream(
         spark, fresh_path(spark, "stream"), centres(spark, sf_dir), docs, REPLAY_THRESHOLD, fanout=2
     )
