@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from corpuscle.functions import vectors as vc
 from corpuscle.operators import cache, matching, ordering, search
 from corpuscle.operators.matching import top_matches
+from corpuscle.sources.shared import shared_dir
 
 from support import unit_rows, vector_rows
 
@@ -184,6 +187,7 @@ def test_large_sides_are_matched_in_pieces(spark, monkeypatch, block_rows, entri
     limits = {"travel_rows": 0, "block_rows": block_rows, "earlier": earlier, "bucket": "bucket"}
     asked = {"entry_id": "seq", "query_id": "seq", "entry_vector": "vector", "query_vector": "vector"}
     found = top_matches(side.filter(F.col("seq") < entries), side, 4, **asked, **limits)
+    assert not [path for path in Path(shared_dir(spark)).iterdir() if path.name.startswith("match-sides")]
     got = {}
     for r in found.orderBy("query", "rank").collect():
         assert r["rank"] == len(got.setdefault(r["query"], [])) + 1
