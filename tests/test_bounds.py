@@ -1,5 +1,7 @@
 """What bounds the memory and the reads of jobs over large tables."""
 
+import time
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -69,19 +71,24 @@ def test_a_job_removes_its_shuffle_files(spark, tmp_path):
     before = spark.conf.get(session.DROP_SHUFFLES, None)
     rows = spark.range(50_000).selectExpr("id % 20011 AS k", "rand(1) AS v").groupBy("k").max("v")
 
-    def kept(name):
-        tracker = spark._jsc.sc().env().mapOutputTracker()
-        known = tracker.shuffleStatuses().size()
+    def known():
+        return set(spark._jsc.sc().env().mapOutputTracker().shuffleStatuses().keySet().mkString(" ").split())
+
+    def kept(name, wait):
+        before = known()
         rows.write.parquet(str(tmp_path / name))
-        return tracker.shuffleStatuses().size() - known
+        until = time.time() + wait  # files are removed in the background
+        while (new := known() - before) and time.time() < until:
+            time.sleep(0.1)
+        return len(new)
 
     try:
         spark.conf.set(session.DROP_SHUFFLES, "false")
         session.drop_shuffles(spark)
-        assert kept("stated") == 1
+        assert kept("stated", 2) == 1
         spark.conf.unset(session.DROP_SHUFFLES)
         session.drop_shuffles(spark)
-        assert kept("dropped") == 0
+        assert kept("dropped", 30) == 0
         assert spark.read.parquet(str(tmp_path / "dropped")).count() == rows.count() == 20_011
     finally:
         spark.conf.unset(session.DROP_SHUFFLES)
